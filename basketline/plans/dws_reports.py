@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..fixed_values import SEGMENTS
 from ..functions.money import money, ratio
@@ -15,9 +15,11 @@ Tables = Mapping[str, DataFrame]
 SEGMENT_CODES = [code for code, _, _ in SEGMENTS]
 
 
-def segment_dimension(spark) -> DataFrame:
+def segment_dimension(spark: SparkSession) -> DataFrame:
     """Segment code, label and marketing strategy: eight rows."""
-    return spark.createDataFrame(list(SEGMENTS), "rfm_segment string, segment_label string, marketing_strategy string")
+    names = ("rfm_segment", "segment_label", "marketing_strategy")
+    rows = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in SEGMENTS))
+    return spark.range(1).select(F.inline(rows))
 
 
 def _buyers(t: Tables) -> DataFrame:

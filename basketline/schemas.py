@@ -7,7 +7,15 @@ types overflow for a best-selling product once the facts reach billions of rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType, DateType, DecimalType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
+)
+
+_TYPES: dict[str, DataType] = {
+    "string": StringType(), "int": IntegerType(), "bigint": LongType(), "date": DateType(),
+    "timestamp_ntz": TimestampNTZType(), "decimal(10,2)": DecimalType(10, 2), "decimal(12,2)": DecimalType(12, 2),
+    "decimal(18,2)": DecimalType(18, 2),
+}
 
 _DDL = {
     "ods_users": "user_id string, username string, gender string, age int, city string, "
@@ -45,7 +53,13 @@ _DDL = {
                         "avg_user_amount decimal(18,2), year int, month int, weekday int",
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+
+def _struct(columns: str) -> StructType:
+    """Schema of a "name type, name type" text, without needing a session."""
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in map(str.split, columns.split(", "))])
+
+
+SCHEMAS: dict[str, StructType] = {name: _struct(columns) for name, columns in _DDL.items()}
 
 PRIMARY_KEYS: dict[str, list[str]] = {
     "ods_users": ["user_id"],
