@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _STEPS = float(1 << 53)
 
@@ -49,19 +49,24 @@ def normal(seed: int, purpose: str, *key: Column) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(6.283185307179586) * u2)
 
 
-def distinct_picks(seed: int, purpose: str, key: Column, count: Column, domain: int, most: int) -> Column:
-    """``count`` (at most ``most``) different integers from 1..``domain``, as an array.
+def with_distinct_picks(
+    df: DataFrame, name: str, seed: int, purpose: str, key: Column, count: Column, domain: int, most: int
+) -> DataFrame:
+    """Add an array of ``count`` (at most ``most``) different integers from 1..``domain``.
 
-    Position i draws from a domain shortened by i, then steps over the smaller picks
-    before it, which are kept sorted. No draw can collide, so none has to be repeated.
+    Floyd's sampling: the i-th draw comes from 1..(domain - count + i), and a value already
+    taken is replaced by the upper end of that range, which no earlier draw could reach.
+    Each step is a column of its own, so a later one does not evaluate the earlier again.
     """
     if most > domain:
         raise ValueError(f"cannot pick {most} different values out of {domain}")
-    picks = F.array().cast("array<int>")
-    sorted_picks = picks
-    for i in range(most):
-        drawn = uniform_int(uniform(seed, f"{purpose}/{i}", key), 1, domain - i)
-        value = F.aggregate(sorted_picks, drawn, lambda acc, taken: F.when(acc >= taken, acc + 1).otherwise(acc))
-        picks = F.concat(picks, F.array(value))
-        sorted_picks = F.array_sort(picks)
-    return F.slice(picks, 1, count)
+    steps: list[str] = []
+    for i in range(1, most + 1):
+        # Steps beyond ``count`` are cut off below; the clamp only keeps them in range.
+        top = F.least(F.lit(domain) - count + i, F.lit(domain))
+        drawn = uniform_int(uniform(seed, f"{purpose}/{i}", key), F.lit(1), top)
+        if steps:
+            drawn = F.when(drawn.isin(*(F.col(step) for step in steps)), top).otherwise(drawn)
+        steps.append(f"__{name}_{i}")
+        df = df.withColumn(steps[-1], drawn)
+    return df.withColumn(name, F.slice(F.array(*steps), 1, count)).drop(*steps)

@@ -62,4 +62,6 @@ def clamp(value: Column, low, high) -> Column:
 
 
 def padded_id(prefix: str, number: Column, width: int) -> Column:
-    return F.format_string(f"{prefix}%0{width}d", number.cast("bigint"))
+    """``prefix`` and the number with leading zeros; a longer number keeps its digits."""
+    digits = number.cast("bigint").cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))

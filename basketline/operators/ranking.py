@@ -10,6 +10,9 @@ from ..storage import materialize
 from .windows import with_null_keys, without_null_keys
 
 
+_BEYOND = 1_000_000  # past every magnitude
+
+
 def _magnitude(value: Column) -> Column:
     """A step function of ``value``, constant over 0.1 % of its size, that keeps its order.
 
@@ -19,17 +22,22 @@ def _magnitude(value: Column) -> Column:
     return F.when(value < 0, -size).otherwise(size)
 
 
-def counts_before(hist: DataFrame, keys: Sequence[str], value: str, weight: Column, descending: bool) -> DataFrame:
+def counts_before(
+    hist: DataFrame, keys: Sequence[str], value: str, weight: Column, descending: bool, last: Column | None = None
+) -> DataFrame:
     """Add ``__before``, the summed ``weight`` of the rows ahead of each row in its group,
     and ``__all``, that of the whole group.
 
     ``hist`` has one row per (keys, value). Rows are split by magnitude of the value, so
     a group with very many distinct values still runs in many tasks; only one total per
-    magnitude meets in a single task.
+    magnitude meets in a single task. Rows where ``last`` holds come after all others.
     """
-    ordered = F.desc(value) if descending else F.asc(value)
-    step_order = F.desc("__step") if descending else F.asc("__step")
-    rows = hist.withColumn("__step", _magnitude(F.col(value))).withColumn("__weight", weight)
+    step = F.coalesce(_magnitude(F.col(value)), F.lit(0))
+    if last is not None:
+        step = F.when(last, -_BEYOND if descending else _BEYOND).otherwise(step)
+    rows = hist.withColumn("__step", step).withColumn("__weight", weight)
+    direction = F.desc if descending else F.asc
+    ordered, step_order = direction(value), direction("__step")
     cell = [*keys, "__step"]
     local = F.sum("__weight").over(W.partitionBy(*cell).orderBy(ordered).rowsBetween(W.unboundedPreceding, -1))
     steps = rows.groupBy(*cell).agg(F.sum("__weight").alias("__total"))
@@ -51,23 +59,17 @@ def rank_within(
     """Rank (or dense rank) of each row in its group by ``metric``, NULL metrics last.
 
     Works on counts per distinct value: the rank is one more than the number of rows (or
-    of values) ahead. ``df`` is read twice; pass a stored table or a cheap plan.
+    of values) ahead. ``df`` is read more than once; pass a stored table or an aggregate,
+    whose shuffle Spark reuses.
     """
     rows, group = without_null_keys(df, by)
     rows, metric_key = without_null_keys(rows, [metric])
-    flag = metric_key[1]
-    hist = rows.groupBy(*group, *metric_key).agg(F.count(F.lit(1)).alias("__rows"))
+    key = [*group, *metric_key]
+    hist = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"))
     weight = F.lit(1) if dense else F.col("__rows")
-    known = counts_before(hist.where(~F.col(flag)), group, metric, weight, descending)
-    totals = hist.where(~F.col(flag)).groupBy(*group).agg(F.sum(weight).alias("__known"))
-    unknown = (
-        hist.where(flag).join(totals, group, "left")
-        .withColumn("__before", F.coalesce(F.col("__known"), F.lit(0)))
-    )
-    columns = [*group, *metric_key, (F.col("__before") + 1).alias(name)]
-    ranks = known.select(columns).unionByName(unknown.select(columns))
-    ranked = rows.join(ranks, [*group, *metric_key])
-    return with_null_keys(ranked, [*by, metric]).select(*df.columns, name)
+    ranks = counts_before(hist, group, metric, weight, descending, last=F.col(metric_key[1]))
+    ranks = ranks.select(*key, (F.col("__before") + 1).alias(name))
+    return with_null_keys(rows.join(ranks, key), [*by, metric]).select(*df.columns, name)
 
 
 def tile_cutoffs(df: DataFrame, measures: dict[str, Column], id_column: str, tiles: int) -> dict[str, list[tuple]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.money import percent
 
@@ -41,6 +41,14 @@ def table_census(tables: dict[str, DataFrame], measures: dict[str, dict[str, Col
     return reduce(DataFrame.unionByName, rows)
 
 
+def database_census(spark: SparkSession, database: str) -> DataFrame:
+    """Row count of every table of a catalog database."""
+    names = sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    if not names:
+        return spark.range(0).select(F.lit("").alias("table_name"), F.col("id").alias("rows_count"))
+    return table_census({name: spark.table(f"`{database}`.`{name}`") for name in names})
+
+
 def having_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their number of rows."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows_count")).where(F.col("rows_count") > 1)

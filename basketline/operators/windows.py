@@ -1,7 +1,7 @@
 """Ordered per-key operators that no single key can overload.
 
 A window gives each key to one task. Keys with more than ``hot_rows`` rows are therefore
-cut into slices of the order column (usually days): the window runs inside a slice, and a
+cut into slices by the hour of the order column: the window runs inside a slice, and a
 small table carries the totals of the earlier slices forward. All other keys keep one
 slice, so the usual case costs one shuffle of the rows, as a plain window would.
 """
@@ -57,8 +57,10 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], slice_by: Column, hot_row
     )
 
 
-def _by_day(column: str) -> Column:
-    return F.coalesce(F.to_date(F.col(column)), F.expr("date'0001-01-01'"))
+def _by_hour(column: str) -> Column:
+    """Hours since 1970 on the column's own clock; rows without a time come first, as in a window."""
+    time = F.col(column)
+    return F.coalesce(F.unix_date(F.to_date(time)) * 24 + F.hour(time), F.lit(-1_000_000_000))
 
 
 def _earlier(keys: Sequence[str]):
@@ -73,7 +75,7 @@ def sequence_number(
     ``order`` must end in a unique column, or ties are numbered arbitrarily.
     """
     rows, keys = without_null_keys(df, by)
-    rows = slice_hot_keys(rows, keys, _by_day(order[0]), hot_rows)
+    rows = slice_hot_keys(rows, keys, _by_hour(order[0]), hot_rows)
     cell = [*keys, _SLICE]
     numbered = rows.withColumn("__local", F.row_number().over(W.partitionBy(*cell).orderBy(*order)))
     before = (
@@ -90,7 +92,7 @@ def running_sum(
 ) -> DataFrame:
     """Sum of ``value`` up to and including the current time; rows of one time share it."""
     rows, keys = without_null_keys(df, by)
-    rows = slice_hot_keys(rows, keys, _by_day(order), hot_rows)
+    rows = slice_hot_keys(rows, keys, _by_hour(order), hot_rows)
     cell = [*keys, _SLICE]
     summed = rows.withColumn("__local", F.sum(value).over(W.partitionBy(*cell).orderBy(order)))
     before = (
@@ -109,7 +111,7 @@ def with_previous(
 ) -> DataFrame:
     """Add, for each ``{column: new name}``, the value in the key's previous row."""
     rows, keys = without_null_keys(df, by)
-    rows = slice_hot_keys(rows, keys, _by_day(order[0]), hot_rows)
+    rows = slice_hot_keys(rows, keys, _by_hour(order[0]), hot_rows)
     cell = [*keys, _SLICE]
     in_cell = W.partitionBy(*cell).orderBy(*order)
 

@@ -157,14 +157,15 @@ def retention_d7(t: Tables) -> DataFrame:
     return seven.select("first_date", "new_users", "d7_retention_pct")
 
 
-def funnel(t: Tables) -> DataFrame:
+def funnel(t: Tables, known_only: bool = True) -> DataFrame:
     """Distinct users who placed, paid for, were sent, received an order.
 
-    Orders in an unknown state do not count as placed.
+    Orders in an unknown state count as placed only without ``known_only``.
     """
-    status = F.col("status")
-    known = t["dwd_orders"].where((F.col("is_valid_order") == 1) | status.isin("cancelled", "refunded"))
-    return cohorts.funnel(known, "user_id", {
+    status, orders = F.col("status"), t["dwd_orders"]
+    if known_only:
+        orders = orders.where((F.col("is_valid_order") == 1) | status.isin("cancelled", "refunded"))
+    return cohorts.funnel(orders, "user_id", {
         "step1_total_users": F.lit(True),
         "step2_paid": status.isin(*VALID_STATUSES),
         "step3_shipped": status.isin("shipped", "received"),

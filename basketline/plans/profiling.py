@@ -49,12 +49,10 @@ def describe_price(products: DataFrame, column: str = "price") -> DataFrame:
     )
     quartiles = exact_quantiles(products, column, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     rounded = quartiles.select(*(F.round(c, 4).alias(c) for c in quartiles.columns))
-    one = F.lit(1).alias("__one")
-    both = basics.select("*", one).join(rounded.select("*", one), "__one")  # one row each
-    return both.select(
-        *(F.col(c).cast("decimal(18,4)").alias(c) if c != "count" else F.col(c)
-          for c in ("count", "mean", "std", "min", "q25", "q50", "q75", "max"))
-    )
+    # Two rows with complementary columns, folded into one.
+    both = basics.unionByName(rounded, allowMissingColumns=True)
+    names = ("mean", "std", "min", "q25", "q50", "q75", "max")
+    return both.agg(F.max("count").alias("count"), *(F.max(c).cast("decimal(18,4)").alias(c) for c in names))
 
 
 def preview(df: DataFrame, k: int = 5) -> DataFrame:

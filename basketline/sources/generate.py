@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..functions.dates import as_of_date
-from ..functions.draws import choice, distinct_picks, normal, uniform, uniform_int, weighted_choice
+from ..functions.draws import choice, normal, uniform, uniform_int, weighted_choice, with_distinct_picks
 from ..functions.rules import clamp, padded_id
 from ..schemas import conform
 from .files import write_csv
@@ -92,19 +92,33 @@ def _item_count(seed: int) -> Column:
     return weighted_choice(uniform(seed, "items", F.col("n")), fv.ITEM_COUNTS, fv.ITEM_COUNT_WEIGHTS)
 
 
+def _with_products(ids: DataFrame, n_products: int, seed: int) -> DataFrame:
+    """``n``, the number of items ``k`` and the array of their products."""
+    counted = ids.select("n", _item_count(seed).alias("k"))
+    return with_distinct_picks(
+        counted, "products", seed, "product", F.col("n"), F.col("k"), n_products, max(fv.ITEM_COUNTS)
+    )
+
+
+def _quantity(seed: int, product: Column) -> Column:
+    return weighted_choice(uniform(seed, "quantity", F.col("n"), product), fv.QUANTITIES, fv.QUANTITY_WEIGHTS)
+
+
+def _unit_price(seed: int, product: Column) -> Column:
+    drawn = F.exp(fv.ITEM_PRICE_LOG_MEAN + fv.ITEM_PRICE_LOG_SD * normal(seed, "price", F.col("n"), product))
+    return clamp(F.round(drawn, 2), fv.ITEM_PRICE_MIN, fv.ITEM_PRICE_MAX).cast("decimal(10,2)")
+
+
 def gen_order_items(ids: DataFrame, n_products: int, seed: int = SEED_ORDERS) -> DataFrame:
     """One to five different products per order, with log-normal prices."""
-    n, product = F.col("n"), F.col("product")
-    picks = distinct_picks(seed, "product", n, F.col("k"), n_products, max(fv.ITEM_COUNTS))
-    lines = ids.select("n", _item_count(seed).alias("k")).select("n", F.explode(picks).alias("product"))
-    price = F.exp(fv.ITEM_PRICE_LOG_MEAN + fv.ITEM_PRICE_LOG_SD * normal(seed, "price", n, product))
-    quantity = weighted_choice(uniform(seed, "quantity", n, product), fv.QUANTITIES, fv.QUANTITY_WEIGHTS)
-    price = clamp(F.round(price, 2), fv.ITEM_PRICE_MIN, fv.ITEM_PRICE_MAX)
+    # The outer form keeps the optimizer from adding a filter that repeats all draws.
+    lines = _with_products(ids, n_products, seed).select("n", F.explode_outer("products").alias("product"))
+    product = F.col("product")
     items = lines.select(
-        padded_id("O", n, 9).alias("order_id"),
+        padded_id("O", F.col("n"), 9).alias("order_id"),
         padded_id("P", product, 6).alias("product_id"),
-        quantity.alias("quantity"),
-        price.cast("decimal(10,2)").alias("unit_price"),
+        _quantity(seed, product).alias("quantity"),
+        _unit_price(seed, product).alias("unit_price"),
     ).withColumn("amount", F.col("unit_price") * F.col("quantity"))
     return conform(items, "ods_order_items")
 
@@ -112,24 +126,32 @@ def gen_order_items(ids: DataFrame, n_products: int, seed: int = SEED_ORDERS) ->
 def gen_orders(
     ids: DataFrame, n_users: int, n_products: int, seed: int = SEED_ORDERS, as_of: dt.date | str | None = None
 ) -> DataFrame:
-    """Orders whose amount is the sum of the items that :func:`gen_order_items` gives them."""
+    """Orders whose amount is the sum of the items that :func:`gen_order_items` gives them.
+
+    The items are drawn again inside the order's row, so the two tables agree without a
+    join.
+    """
     n = F.col("n")
     u = lambda purpose: uniform(seed, purpose, n)
-    totals = gen_order_items(ids, n_products, seed).groupBy("order_id").agg(F.sum("amount").alias("total_amount"))
+    amount = lambda product: _unit_price(seed, product) * _quantity(seed, product)
+    total = F.aggregate(
+        "products", F.lit(0).cast("decimal(12,2)"), lambda sum_, product: (sum_ + amount(product)).cast("decimal(12,2)")
+    )
     at_noon = as_of_date(as_of).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(12))
     created = at_noon - F.make_dt_interval(
         days=uniform_int(u("days ago"), 0, ORDERED_WITHIN_DAYS), hours=uniform_int(u("hours ago"), 0, 23)
     )
     paid = F.col("create_time") + F.make_dt_interval(mins=uniform_int(u("pay delay"), 1, PAID_WITHIN_MINUTES))
-    headers = ids.select(
+    orders = _with_products(ids, n_products, seed).select(
         n,
         padded_id("O", n, 9).alias("order_id"),
         padded_id("U", uniform_int(u("user"), 1, n_users), 8).alias("user_id"),
+        total.cast("decimal(12,2)").alias("total_amount"),
         weighted_choice(u("status"), fv.ORDER_STATUSES, fv.STATUS_WEIGHTS).alias("status"),
-        _item_count(seed).alias("item_count"),
+        F.col("k").alias("item_count"),
         created.alias("create_time"),
     ).withColumn("pay_time", F.when(F.col("status") != "cancelled", paid))
-    return conform(headers.join(totals, "order_id"), "ods_orders")
+    return conform(orders, "ods_orders")
 
 
 def generate_sources(

@@ -76,6 +76,7 @@ def test_score_text_is_null_without_scores(spark):
 def test_clamp_padding_and_validity(spark):
     assert one(spark, rules.clamp(F.lit(9), 1, 5), rules.clamp(F.lit(0), 1, 5)) == (5, 1)
     assert one(spark, rules.padded_id("U", F.lit(42), 8)) == ("U00000042",)
+    assert one(spark, rules.padded_id("P", F.lit(1234567), 6)) == ("P1234567",)
     status = lambda s: rules.valid_order(F.lit(s).cast("string"))
     assert one(spark, status("paid"), status("PAID"), status("refunded"), status(None)) == (1, 0, 0, 0)
 
@@ -98,15 +99,16 @@ def test_normal_has_mean_zero_and_deviation_one(spark):
 
 
 def test_distinct_picks_are_distinct_and_uniform(spark):
-    picks = draws.distinct_picks(5, "p", F.col("id"), F.lit(3), 4, 3)
-    df = spark.range(20_000).select(picks.alias("p"))
+    pick = lambda n, count, domain, most: draws.with_distinct_picks(
+        spark.range(n), "p", 5, "p", F.col("id"), F.lit(count), domain, most)
+    df = pick(20_000, 3, 4, 3)
     assert df.where("size(array_distinct(p)) <> 3 or array_min(p) < 1 or array_max(p) > 4").count() == 0
     counts = dict(rows(df.select(F.explode("p").alias("x")).groupBy("x").count()))
     assert all(c / 20_000 == pytest.approx(0.75, abs=0.02) for c in counts.values()) and len(counts) == 4
-    whole = spark.range(50).select(F.array_sort(draws.distinct_picks(5, "q", F.col("id"), F.lit(5), 5, 5)).alias("p"))
-    assert rows(whole.distinct())[0][0] == [1, 2, 3, 4, 5]
+    assert rows(pick(50, 5, 5, 5).select(F.array_sort("p")).distinct())[0][0] == [1, 2, 3, 4, 5]
+    assert rows(pick(50, 2, 9, 5).select(F.size("p")).distinct()) == [(2,)]
     with pytest.raises(ValueError):
-        draws.distinct_picks(5, "p", F.col("id"), F.lit(1), 4, 5)
+        pick(1, 1, 4, 5)
 
 
 def test_average_gap(spark):

@@ -140,6 +140,13 @@ def test_user_behaviour_reports(t):
         ("O1", D("100.00")), ("O3", D("130.00")), ("O4", D("150.00"))]
 
 
+def test_funnel_with_and_without_unknown_states(spark):
+    orders = [*ORDERS, ("O7", "U3", D("5.00"), "lost", 0, dt.datetime(2026, 1, 1), None)]
+    t = Layers(raw_tables(spark, orders=orders), AS_OF)
+    assert rows(dwd_reports.funnel(t)) == [(3, 2, 1, 1)]
+    assert rows(dwd_reports.funnel(t, known_only=False)) == [(4, 2, 1, 1)]
+
+
 def test_daily_kpis_have_one_row_per_day(t):
     kpis = rows(ads_daily_kpis(t), "date", "dau", "cohort_users", "d7_retention_pct")
     assert kpis[0] == (JAN(1), 1, 1, D("100.00")) and kpis[3] == (JAN(5), 0, None, None) and len(kpis) == 5

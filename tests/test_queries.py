@@ -39,9 +39,10 @@ def plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_in_any_plan(spark, name):
+def test_no_python_and_no_cross_join_in_any_plan(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
-    assert "Python" not in text and "Pandas" not in text and "CartesianProduct" not in text
+    assert "Python" not in text and "Pandas" not in text
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
 ROW_LEVEL = ["dwd_orders", "dwd_order_items", "dws_user_base", "dws_user_summary", "dws_product_summary", "order_seq",

@@ -10,6 +10,7 @@ from micro import ORDERS, USERS, raw_tables, rows
 from pyspark.sql import functions as F
 
 from basketline import fixed_values as fv
+from basketline.operators.summaries import database_census
 from basketline.schemas import PRIMARY_KEYS, SCHEMAS, conform
 from basketline.sources import files, generate, tables
 from basketline.storage import materialize, path_exists, shared_folder
@@ -115,6 +116,9 @@ def test_catalog_tables(spark):
     left, right = spark.range(100).withColumnRenamed("id", "k"), spark.range(50).withColumnRenamed("id", "k")
     tables.save_as_table(left, "shop.l", "k", 4)
     tables.save_as_table(right, "shop.r", "k", 4)
+    assert rows(database_census(spark, "shop")) == [("l", 100), ("r", 50)]
+    tables.ensure_namespace(spark, "empty")
+    assert database_census(spark, "empty").count() == 0
     joined = spark.table("shop.l").hint("merge").join(spark.table("shop.r"), "k")
     assert joined.count() == 50
     assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
