@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_ods, overwrite, read_table
-from ..storage import hadoop_path
+from ..storage import hadoop_path, temporary_tables
 from .ads import ads_daily_kpis
 from .dwd import build_dwd_order_items, build_dwd_orders, with_order_month
 from .dws import build_date_summary, build_product_summary, build_user_summary
@@ -43,7 +43,7 @@ def run_pipeline(
     stored by order month, so reports on a period skip the other months.
     """
     warehouse = warehouse.rstrip("/")
-    with _only_run(spark, warehouse):
+    with _only_run(spark, warehouse), temporary_tables(spark):
         t = load_ods(spark, source_dir, warehouse)
 
         def store(name: str, df: DataFrame, partition_by: str | None = None) -> None:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,10 +44,25 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    if (written := _WRITTEN.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Delete on leaving what :func:`materialize` wrote inside; nothing may read it later."""
+    token = _WRITTEN.set([])
+    try:
+        yield
+    finally:
+        for path in _WRITTEN.get():
+            fs, jpath = hadoop_path(spark, path)
+            fs.delete(jpath, True)
+        _WRITTEN.reset(token)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(file system, path) pair of the Hadoop API for ``path``."""
     jvm = spark.sparkContext._jvm

@@ -90,7 +90,7 @@ def test_ntile_where_leaves_other_rows_without_score(spark):
     assert rows(got.where("a >= 10").groupBy("x").count()) == [(i, 2) for i in range(1, 6)]
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.integers(-50, 50), min_size=1, max_size=40))
 def test_exact_quantiles(spark, values):
     import numpy as np
@@ -108,7 +108,7 @@ def days(spark, data):
 user_days = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 40)), min_size=1, max_size=60)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(user_days)
 def test_streaks_and_retention_and_intervals(spark, data):
     df = days(spark, data)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 from micro import ORDERS, raw_tables, rows
@@ -11,6 +12,8 @@ from micro import ORDERS, raw_tables, rows
 from basketline.plans import cleaning, dwd_reports, pipeline, profiling, quality
 from basketline.schemas import SCHEMAS
 from basketline.sources import generate
+from basketline.sources.tables import read_table
+from basketline.storage import shared_folder
 from basketline.streaming.incremental import incremental_load, last_load_time, read_loaded
 
 AS_OF = "2026-03-01"
@@ -24,14 +27,20 @@ def source(spark, tmp_path_factory):
     return folder
 
 
-def test_pipeline_runs_and_reruns_to_the_same_tables(spark, source, tmp_path):
-    warehouse = str(tmp_path / "wh")
-    first = {n: rows(df) for n, df in pipeline.run_pipeline(spark, source, warehouse, AS_OF, BANDS).items()}
-    again = pipeline.run_pipeline(spark, source, warehouse, AS_OF, BANDS)
+@pytest.fixture(scope="module")
+def warehouse(spark, source, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("wh")
+    return folder, pipeline.run_pipeline(spark, source, str(folder), AS_OF, BANDS)
+
+
+def test_pipeline_reruns_to_the_same_tables(spark, source, warehouse):
+    folder, t = warehouse
+    first = {n: rows(df) for n, df in t.items()}
+    again = pipeline.run_pipeline(spark, source, str(folder), AS_OF, BANDS)
     assert {n: rows(df) for n, df in again.items()} == first
     assert len(first) == 10
-    assert (tmp_path / "wh" / "dwd_orders" / "order_month=2025-12").is_dir()
-    assert not (tmp_path / "wh" / "_running").exists()
+    assert (folder / "dwd_orders" / "order_month=2025-12").is_dir()
+    assert not (folder / "_running").exists()
     # Header totals equal item sums in generated data, and so do the summaries built from each.
     assert rows(quality.dq_header_vs_items(again["ods_orders"], again["ods_order_items"]), "status") == [("PASS",)]
     users, products, days = (again[f"dws_{n}_summary"] for n in ("user", "product", "date"))
@@ -39,8 +48,17 @@ def test_pipeline_runs_and_reruns_to_the_same_tables(spark, source, tmp_path):
     assert totals[0] == totals[1] == totals[2]
 
 
-def test_period_reports_skip_other_months(spark, source, tmp_path):
-    t = pipeline.run_pipeline(spark, source, str(tmp_path / "wh"), AS_OF, None)
+def test_pipeline_removes_its_intermediate_tables(spark, tmp_path):
+    files = lambda: set(Path(shared_folder(spark)).rglob("*.parquet"))
+    before = files()
+    generate.generate_sources(spark, str(tmp_path / "raw"), 5, 5, 8, as_of=AS_OF)
+    t = pipeline.run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "wh"), AS_OF, None)
+    assert t["dws_user_summary"].count() == 5
+    assert files() == before
+
+
+def test_period_reports_skip_other_months(spark, warehouse):
+    t = {"dwd_orders": read_table(spark, str(warehouse[0]), "dwd_orders")}
     report = dwd_reports.active_30d(t, AS_OF)
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_month" in plan
@@ -48,10 +66,11 @@ def test_period_reports_skip_other_months(spark, source, tmp_path):
     assert rows(report) == rows(plain)
 
 
-def test_gate_stops_the_run(spark, source, tmp_path):
-    bands = {**BANDS, "dws_user_summary": (201, 300)}
-    with pytest.raises(quality.QualityError, match="dws_user_summary: 200"):
-        pipeline.run_pipeline(spark, source, str(tmp_path / "wh"), AS_OF, bands)
+def test_gate_stops_the_run(spark, tmp_path):
+    generate.generate_sources(spark, str(tmp_path / "raw"), 5, 5, 8, as_of=AS_OF)
+    with pytest.raises(quality.QualityError, match="dws_user_summary: 5"):
+        pipeline.run_pipeline(
+            spark, str(tmp_path / "raw"), str(tmp_path / "wh"), AS_OF, {"dws_user_summary": (6, 10)})
     assert not (tmp_path / "wh" / "ads_daily_kpis").exists()
     assert not (tmp_path / "wh" / "_running").exists()
 

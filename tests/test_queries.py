@@ -26,8 +26,12 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_sql(spark, duck, name):
-    assert compare.difference(QUERIES[name](spark, FOLDER), duck, SQL[name]) is None
+def test_query_matches_sql_without_python_or_cross_joins(spark, duck, name):
+    df = QUERIES[name](spark, FOLDER)
+    text = plan(df)
+    assert "Python" not in text and "Pandas" not in text
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+    assert compare.difference(df, duck, SQL[name]) is None
 
 
 def test_entry(spark):
@@ -38,13 +42,6 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_and_no_cross_join_in_any_plan(spark, name):
-    text = plan(QUERIES[name](spark, FOLDER))
-    assert "Python" not in text and "Pandas" not in text
-    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
-
-
 ROW_LEVEL = ["dwd_orders", "dwd_order_items", "dws_user_base", "dws_user_summary", "dws_product_summary", "order_seq",
              "cumulative_spend", "prev_order", "brand_rank", "first_orders", "clean_orders"]
 

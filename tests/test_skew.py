@@ -32,16 +32,16 @@ def settings(spark, **conf):
 SMALL_PARTITIONS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.shuffle.partitions": "16",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "24KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "48KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
 }
 
 
 @pytest.fixture(scope="module")
 def shop(spark):
-    """20,000 orders, a third of them by one user; a third of the items of one product."""
-    ids = generate.numbers(spark, 20_000)
+    """8,000 orders, a third of them by one user; a third of the items of one product."""
+    ids = generate.numbers(spark, 8_000)
     orders = generate.gen_orders(ids, 3000, 300, as_of=AS_OF)
     hot_user = F.when(F.xxhash64("order_id") % 3 == 0, "U00000001").otherwise(F.col("user_id"))
     items = generate.gen_order_items(ids, 300).where("product_id <> 'P000001'")
@@ -101,4 +101,4 @@ def test_copies_of_one_order_are_cut_before_the_shuffle(spark, shop):
     cleaned = clean_orders(copies.unionByName(shop["orders"]))
     text = executed(cleaned)
     assert text.count("WindowGroupLimit") >= 2
-    assert cleaned.count() == 20_000
+    assert cleaned.count() == 8_000
