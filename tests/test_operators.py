@@ -50,6 +50,39 @@ def test_with_previous(facts, hot_rows):
     assert rows(got, "id", "user", "pt", "pv") == rows(expected, "id", "user", "pt", "pv")
 
 
+def test_hot_key_with_one_single_time(spark):
+    """All rows of the hot key fall on one moment: slices go by the unique column too."""
+    n = F.col("id")
+    df = spark.range(4000).select(
+        F.when(n % 4 == 0, F.concat(F.lit("k"), (n % 50).cast("string"))).otherwise("hot").alias("user"),
+        F.when(n % 7 != 0, F.lit("2026-01-01 10:00:00").cast("timestamp_ntz")).alias("t"), n.alias("id"),
+        (n % 10).alias("v"))
+    order = W.partitionBy("user").orderBy("t", "id")
+    expected = df.select("*", F.row_number().over(order).alias("seq"), F.lag("v").over(order).alias("pv"),
+                         F.sum("v").over(W.partitionBy("user").orderBy("t")).alias("total"))
+    seq = windows.sequence_number(df, ["user"], ["t", "id"], "seq", 500)
+    previous = windows.with_previous(df, ["user"], ["t", "id"], {"v": "pv"}, 500)
+    total = windows.running_sum(df, ["user"], "t", "v", "total", 500)
+    assert rows(seq, "id", "seq") == rows(expected, "id", "seq")
+    assert rows(previous, "id", "pv") == rows(expected, "id", "pv")
+    assert rows(total, "id", "total") == rows(expected, "id", "total")
+
+
+def test_hot_key_fills_several_even_slices(spark):
+    df = spark.range(40_000).select(F.lit("hot").alias("user"), F.lit(1).alias("t"), "id")
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        placed = windows._sliced(df, ["user"], ["t", "id"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = [r["count"] for r in placed.groupBy("__slice").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 20_000
+
+
 def test_running_sum_example(spark):
     at = lambda h: dt.datetime(2026, 1, 1, h)
     df = spark.createDataFrame([("u", at(10), 100), ("u", at(10), 50), ("u", at(12), 30), ("u", at(13), 20)],
