@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -77,7 +78,7 @@ def tile_cutoffs(df: DataFrame, measures: dict[str, Column], id_column: str, til
 
     All measures are stacked and range-partitioned together, the partition number is
     stored with the rows, and counts per partition tell where each cut-off lies; only
-    those partitions are sorted. The bounds of a range partitioning are sampled, hence the
+    those partitions are read again and sorted. The bounds of a range partitioning are sampled, hence the
     stored table: counts and rows have to come from the same partitioning.
     """
     stacked = None
@@ -89,33 +90,32 @@ def tile_cutoffs(df: DataFrame, measures: dict[str, Column], id_column: str, til
     placed = stacked.repartitionByRange("measure", "value", "id").withColumn("part", F.spark_partition_id())
     placed = materialize(placed, "tiles")
 
-    # One row per measure and partition.
-    parts = placed.groupBy("measure", "part").agg(F.count(F.lit(1)).alias("rows"))
-    by_part = W.partitionBy("measure").orderBy("part")
-    parts = parts.select(
-        "measure", "part", "rows",
-        F.coalesce(F.sum("rows").over(by_part.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("start"),
-        F.sum("rows").over(W.partitionBy("measure")).alias("total"),
-    )
-    # Tile i ends at row i * (total div tiles) + min(i, total mod tiles).
-    i = F.explode(F.sequence(F.lit(1), F.lit(tiles - 1)))
-    ends = parts.select("*", i.alias("tile")).withColumn(
-        "end", F.expr(f"tile * (total div {tiles}) + least(tile, total % {tiles})")
-    )
-    ends = ends.where((F.col("end") > F.col("start")) & (F.col("end") <= F.col("start") + F.col("rows")))
-    wanted = ends.groupBy("measure", "part", "start").agg(F.collect_set("end").alias("ends"))
-
-    # ``wanted`` has at most measures x (tiles - 1) rows, and so has the result.
+    # One row per measure and partition: a list as short as Spark's own partition bounds.
+    sizes: dict[str, list[tuple[int, int]]] = {name: [] for name in measures}
+    for r in placed.groupBy("measure", "part").agg(F.count(F.lit(1)).alias("rows")).collect():
+        sizes[r.measure].append((r.part, r.rows))
+
+    ends = {}  # (measure, partition, position in it) of the last row of each tile
+    for name, parts in sizes.items():
+        total, start = sum(n for _, n in parts), 0
+        last_rows = {i * (total // tiles) + min(i, total % tiles) for i in range(1, tiles)}
+        for part, n in sorted(parts):
+            ends.update({(name, part, end - start): None for end in sorted(last_rows) if start < end <= start + n})
+            start += n
+
+    if not ends:
+        return {name: [] for name in measures}
+    here = lambda name, part: (F.col("measure") == name) & (F.col("part") == part)
+    any_of = lambda conditions: reduce(lambda x, y: x | y, conditions)
     position = F.row_number().over(W.partitionBy("measure", "part").orderBy("value", "id"))
     found = (
-        placed.join(F.broadcast(wanted), ["measure", "part"])
-        .withColumn("position", position + F.col("start"))
-        .where(F.array_contains("ends", F.col("position")))
-        .select("measure", "position", "value", "id")
+        placed.where(any_of([here(name, part) for name, part in sorted({key[:2] for key in ends})]))
+        .withColumn("position", position)
+        .where(any_of([here(name, part) & (F.col("position") == at) for name, part, at in ends]))
     )
-    last_of_tile = ends.select("measure", "tile", F.col("end").alias("position"))
-    rows = last_of_tile.join(found, ["measure", "position"]).orderBy("measure", "tile").collect()
-    return {name: [(r.value, r.id) for r in rows if r.measure == name] for name in measures}
+    for r in found.collect():  # at most measures x (tiles - 1) rows
+        ends[r.measure, r.part, r.position] = (r.value, r.id)
+    return {name: [cut for key, cut in ends.items() if key[0] == name] for name in measures}
 
 
 def ntile_scores(df: DataFrame, measures: dict[str, Column], id_column: str, tiles: int = 5,
@@ -127,12 +127,12 @@ def ntile_scores(df: DataFrame, measures: dict[str, Column], id_column: str, til
     """
     scored = df if where is None else df.where(where)
     cutoffs = tile_cutoffs(scored, measures, id_column, tiles)
+    types = dict(df.select(*(value.alias(name) for name, value in measures.items())).dtypes)
     columns = {}
     for name, value in measures.items():
-        value = value.cast("decimal(20,2)")
         tile = F.lit(1)
         for cut_value, cut_id in cutoffs[name]:
-            cut = F.lit(cut_value).cast("decimal(20,2)")
+            cut = F.lit(cut_value).cast(types[name])
             beyond = (value > cut) | ((value == cut) & (F.col(id_column) > F.lit(cut_id)))
             tile = tile + F.when(beyond, 1).otherwise(0)
         columns[name] = tile if where is None else F.when(where, tile)
