@@ -6,15 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, oracle, packing
+from . import chunks, fingerprints, language, mixing, near, oracle, packing, quality
+from .ship import ship
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return query(spark, folder)
+
+    return run
+
+
+def queries() -> dict[str, Query]:
+    found = {
+        "op1_repeated_passages": chunks.query,
         "op2_language_mixtures": language.query,
         "op3_mix_sources": mixing.query,
         "op6_best_fit_packing": packing.query,
+        "op8_syncmer_fingerprints": fingerprints.query,
+        "op9_attention_quality": quality.query,
+        "op10_near_duplicates": near.query,
     }
+    return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

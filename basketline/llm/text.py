@@ -9,8 +9,11 @@ import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
 
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes of words: all but ASCII white space, or letters, digits and everything beyond ASCII.
+NOT_SPACE = np.ones(256, bool)
+NOT_SPACE[[32, 9, 10, 11, 12, 13]] = False
+LETTERS = np.zeros(256, bool)
+LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def flat(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -62,9 +65,10 @@ _BASE = 0x9E3779B97F4A7C15
 _POWERS = powers(_BASE, 256)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words between white space: start, end, 64-bit hash, and each text's first word number (``len + 1``)."""
-    inside = ~_IS_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray,
+          alphabet: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of the alphabet's bytes: start, end, 64-bit hash, and each text's first word number (``len + 1``)."""
+    inside = alphabet[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
