@@ -96,9 +96,11 @@ def with_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as many times as it is taken, with the columns of ``docs``."""
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    rows = with_copies(docs.select(*kept), **options).where("copies > 0")
-    return rows.select(*kept, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copies")).select(*kept)
+    given = docs.columns
+    plain = docs.toDF(*[c if c in ("doc_id", "text", "source") else f"_d{i}" for i, c in enumerate(given)])
+    rows = with_copies(plain, **options).where("copies > 0")
+    taken = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return rows.select(*plain.columns, taken.alias("_copy")).drop("_copy").toDF(*given)
 
 
 def query(spark, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, fingerprints, language, mixing, near, oracle, packing, quality
+from . import chunks, fingerprints, language, mixing, near, oracle, packing, private, quality, search, secrets
 from .ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +25,10 @@ def queries() -> dict[str, Query]:
         "op1_repeated_passages": chunks.query,
         "op2_language_mixtures": language.query,
         "op3_mix_sources": mixing.query,
+        "op4_linked_credentials": secrets.query,
+        "op5_personal_data": private.query,
         "op6_best_fit_packing": packing.query,
+        "op7_bm25_search": search.query,
         "op8_syncmer_fingerprints": fingerprints.query,
         "op9_attention_quality": quality.query,
         "op10_near_duplicates": near.query,
