@@ -111,7 +111,10 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Adds the Jaccard similarity of their shingle sets to the pairs (a, b); stored."""
+    """Pairs (a, b) with the Jaccard similarity of their shingle sets; stored.
+
+    Also a's number of shingles, those that b lacks and how many of b's it lacks.
+    """
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = materialize(_sets(docs, nodes.select("node", "digest", "doc_id").join(wanted, "node")), "shingle_sets")
     sets = sets.dropDuplicates(["node"])  # rows that repeat an id and a text
@@ -119,7 +122,10 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
     similarity = both / (F.size("_a") + F.size("_b") - both)
-    return materialize(pairs.join(left, "a").join(right, "b").select("a", "b", similarity.alias("similarity")), "verified")
+    found = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", similarity.alias("similarity"), F.size("_a").alias("size"),
+        F.array_except("_a", "_b").alias("added"), (F.size("_b") - both).alias("lost"))
+    return materialize(found, "verified")
 
 
 def _differing_bits() -> Column:
@@ -131,9 +137,10 @@ def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
     """Links (a, b, similarity) that connect all similar texts, and the components they make.
 
     In each bucket of a band all texts are compared with its hub, the one with the most company in all its
-    buckets. Texts that this connects need no further comparison. Texts of one bucket that are still apart
-    are compared where it can matter: distance is a metric, so both must be about as far from the
-    hub, and their registers must agree as those of similar texts do.
+    buckets. Texts that this connects need no further comparison. Of the others in a bucket, two can be similar only if
+    their shingles differ little, of which their differences from the hub tell enough: what one of them
+    added and the other did not is a difference, and so is the surplus of shingles lost. Only pairs within that bound,
+    and with registers that agree as those of similar texts do, are compared.
     """
     buckets = nodes.select("node", F.explode("keys").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -147,21 +154,24 @@ def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
     close = first.where(F.col("similarity") >= similarity)
     joined = components(close)
 
-    distance = F.when(F.col("node") == F.col("hub"), 0.0).otherwise(1 - F.col("similarity"))
-    placed = (members.join(first.withColumnsRenamed({"a": "node", "b": "hub"}), ["node", "hub"], "left")
-              .join(joined, "node", "left")
-              .select("key", "node", "hub", F.coalesce("component", "node").alias("component"), distance.alias("distance")))
-    placed = materialize(placed, "placed")
+    compared = first.withColumnsRenamed({"a": "node", "b": "hub"})
+    placed = members.join(joined, "node", "left").select(
+        "key", "node", "hub", F.coalesce("component", "node").alias("component"))
     apart = placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where(
         "_low < _high").select("key")
-    rest = placed.where("node <> hub").join(apart, "key").join(nodes.select("node", "bits"), "node")
+    rest = placed.where("node <> hub").join(apart, "key").join(
+        compared.select("node", "hub", "size", "added", "lost"), ["node", "hub"])
+    rest = materialize(rest.join(nodes.select("node", "bits"), "node"), "apart")
     x, y = rest.alias("x"), rest.alias("y")
-    near = F.abs(F.col("x.distance") - F.col("y.distance")) <= 1 - similarity + 1e-9
+    allowed = (F.col("x.size") + F.col("y.size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    least = F.size("x.added") + F.size("y.added") + F.abs(F.col("x.lost") - F.col("y.lost"))
+    common = F.size(F.array_intersect("x.added", "y.added"))
     cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-                   & near & (_differing_bits() <= MOST_BITS))
+                   & (_differing_bits() <= MOST_BITS) & ((least <= allowed) | (least - 2 * common <= allowed)))
     cross = cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     second = _verified(docs, nodes, materialize(cross, "pairs"))
-    links = close.union(second.where(F.col("similarity") >= similarity))
+    links = close.select("a", "b", "similarity").union(
+        second.where(F.col("similarity") >= similarity).select("a", "b", "similarity"))
     return links, components(links)
 
 
