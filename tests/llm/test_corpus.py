@@ -1,0 +1,217 @@
+"""Every corpus operator against a brute-force version on a small, awkward table, and on an empty one."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import sys
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from basketline.llm import (chunks, fingerprints, language, mixing, near, packing, private, quality, search, secrets)
+from basketline.llm.ship import ship
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, size int"
+EN = "the cat and the dog went over the hill with that other thing and then they slept under the old tree by the river "
+DE = "der hund und die katze gingen über den berg mit dem anderen ding und dann schliefen sie unter dem alten baum am fluss "
+WORDS = [f"w{i * 7919 % 10007}" for i in range(400)]
+
+
+def _rows():
+    base = " ".join(WORDS[:120])
+    texts = [
+        None, "", " \n ", "***", "Hi", "Hi", EN * 4, EN * 4, DE * 4, DE * 3, EN + DE, base, base, base + " tail",
+        " ".join(WORDS[:60] + ["x"] + WORDS[61:120]), " ".join(WORDS[200:260]) + " " + EN, EN * 900,
+        'user: bob token = "abcdefghijkl" host: db.example.com password: hunter22', "password: hunter22 alone",
+        "a@b.co x 10.0.0.256 10.0.0.1 +1 (437) 555-0689 4539 1488 0343 6467 and 1234567890123", "token: secret: abcdefghijklmnop",
+        "é" * 50 + " ñandú " + "日本語 テキスト don't <|endoftext|> I'll", "a.b@c.d%e@f.g 1.2.3.4.5.6.7.8 " + "9" * 300,
+    ]
+    return [(None if i == 3 else i, t, {6: "en", 7: "en", 8: "de", 9: "de", 16: "en"}.get(i), [None, "b", "a"][i % 3], None, "x", 1)
+            for i, t in enumerate(texts)] + [(5, "Hi", None, "a", None, "x", 1)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, tmp_path_factory):
+    ship(spark)
+    path = str(tmp_path_factory.mktemp("docs"))
+    spark.createDataFrame(_rows(), SCHEMA).repartition(3, "doc_id").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.where("doc_id = -1")
+
+
+TEXT = {r[0]: r[1] or "" for r in _rows()}
+
+
+def _shingles(text):
+    words = re.findall(r"[^\W_]+", text.lower())
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_near_duplicates_are_those_of_all_pairs(docs, empty):
+    found = {(r.doc_id, r.class_id) for r in near.classes(docs).collect()}
+    ids = sorted(i for i in TEXT if i is not None)
+    group = {i: i for i in ids}
+    for a in ids:
+        for b in ids:
+            x, y = _shingles(TEXT[a]), _shingles(TEXT[b])
+            alike = TEXT[a] == TEXT[b] and a != 0 and b != 0 or (x and len(x & y) >= 0.8 * len(x | y))
+            if a < b and alike:
+                low, high = sorted((group[a], group[b]))
+                group = {k: low if v == high else v for k, v in group.items()}
+    assert {p for p in found if p[0] is not None} == set(group.items())
+    kept = near.deduplicated(docs)
+    assert kept.columns == docs.columns and kept.count() == len(set(group.values())) + 1
+    assert near.classes(empty).count() == 0
+
+
+def test_packing_matches_the_tokenizer_and_fills_sequences(docs, empty):
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    model = Tokenizer.from_file(path)
+    got = packing.pack(docs, path, capacity=64).collect()
+    lengths = Counter()
+    for r in got:
+        lengths[r.doc_id] += r.length
+    times = Counter(r[0] for r in _rows())
+    for doc_id, text in TEXT.items():
+        ids = len(model.encode(text, add_special_tokens=False).ids) + 1
+        assert lengths[doc_id] == ids * times[doc_id]
+    bins = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for members in bins.values():
+        place = 0
+        for offset, length in sorted(members):
+            assert offset == place
+            place += length
+        assert place <= 64
+    assert len(bins) <= sum(lengths.values()) / 64 * 1.3 + 1
+    assert packing.pack(empty, path).count() == 0
+
+
+def test_best_fit_equals_one_by_one():
+    random = np.random.default_rng(1)
+    for capacity in (5, 17, 64):
+        sizes = random.integers(1, capacity + 1, 60).tolist()
+        rooms = []
+        for size in sorted(sizes, reverse=True):
+            fit = [r for r in rooms if r >= size]
+            if fit:
+                rooms.remove(min(fit))
+            rooms.append((min(fit) if fit else capacity) - size)
+        plan = packing.best_fit_decreasing(dict(Counter(sizes)), capacity)
+        assert len({s + k // e for _, _, n, s, _, e in plan for k in range(n)}) == len(rooms)
+
+
+def test_mix_takes_what_the_targets_say(docs, empty):
+    rows = mixing.with_copies(docs).collect()
+    assert len(rows) == len(_rows()) and all(0 <= r.copies <= 2 for r in rows)
+    assert all(r.target <= 2 * r.source_size for r in rows)
+    total = sum(r.size for r in rows)
+    targets = {r.source: (r.source_size, r.target) for r in rows}
+    assert math.isclose(sum(t for _, t in targets.values()), 1.5 * total)
+    assert sorted((r.doc_id or -1, r.copies) for r in rows) == sorted((r.doc_id or -1, r.copies) for r in mixing.with_copies(docs).collect())
+    assert mixing.mixed(docs).columns == docs.columns
+    assert mixing.with_copies(empty).count() == 0
+
+
+def test_languages(docs, empty):
+    model = language.train(docs.where(F.col("doc_id").isNotNull()))
+    found = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    assert found[6].lang_pred == "en" and found[8].lang_pred == "de" and set(found[10].languages) == {"en", "de"}
+    assert all(found[i].lang_pred == "und" and found[i].score == 0 for i in (0, 1, 2, None))
+    assert language.identify(empty, model).count() == 0
+    assert language.identify(docs, language.train(empty)).where("lang_pred <> 'und'").count() == 0
+
+
+def _digest(spans):
+    return hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans)).encode()).hexdigest()
+
+
+def test_credentials(spark, docs, empty):
+    found = {r.doc_id: r for r in secrets.credential_spans(docs).select(
+        "doc_id", "n_assign", F.sha2(secrets.spelled(F.col("base"), secrets.KINDS), 256).alias("sha"),
+        secrets.spelled(F.col("spans"), secrets.KINDS).alias("spans")).collect()}
+    for doc_id, text in TEXT.items():
+        base = [(m.start(), 0, m.end(), "assign") for m in re.finditer(
+            r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 12]
+        base += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+        assert found[doc_id].sha == _digest(base)
+    assert "weak" in found[17].spans and "identifier" in found[17].spans and found[18].spans == ""
+    assert found[20].n_assign == 0
+    assert secrets.credential_spans(empty).count() == 0
+
+
+def test_personal_data(docs, empty):
+    found = {r.doc_id: r.spans for r in private.personal_spans(docs).select(
+        "doc_id", private.spelled(F.col("base"), private.KINDS).alias("spans")).collect()}
+    assert found[19] == "email:0:6,ip:20:28,phone:29:46,card:47:66" and found[0] == ""
+    assert found[22] == "email:0:7,email:7:13,ip:14:21,ip:22:29"
+    clean = {r.doc_id: r.text for r in private.redacted(docs).collect()}
+    assert clean[19].startswith("[EMAIL] x 10.0.0.256 [IP] [PHONE] [CARD] and") and clean[0] is None and clean[6] == TEXT[6]
+    assert private.personal_spans(empty).count() == 0
+
+
+def test_repeated_passages(docs, empty):
+    spans = chunks.repeated_spans(docs).collect()
+    assert {11, 12, 13, 14} <= {r.doc_id for r in spans} and not {15, 17, 19} & {r.doc_id for r in spans}
+    for r in spans:
+        assert sum(TEXT[r.doc_id][r.start:r.start + 100] in t for t in TEXT.values()) > 1
+    assert chunks.repeated_spans(empty).count() == 0
+    short = {r.doc_id: r.text for r in chunks.without_repeats(docs).collect()}
+    assert short[11] == TEXT[11] and len(short[12]) < len(TEXT[12]) / 2
+
+
+def test_fingerprints_follow_each_other(docs, empty):
+    rows = fingerprints.fingerprints(docs, 4).collect()
+    order = sorted(((r[0] if r[0] is not None else -1, r[1] or "") for r in _rows()), key=lambda r: (-r[0], r[1]))
+    expected = Counter()
+    for (_, text), (_, following) in zip(order, order[1:] + order[:1]):
+        changed = fingerprints.edited(text, following)
+        expected[len(text), hashlib.sha256(changed.encode()).hexdigest()] += 1
+    assert Counter((r.n_chars, r.edited_sha256) for r in rows) == expected
+    same = {r.doc_id: r.fingerprint for r in rows}
+    assert same[11] == same[12] != same[13]
+    assert fingerprints.fingerprints(empty).count() == 0
+
+
+def test_quality_learns_and_scores_everything(spark, docs, empty):
+    labels = spark.createDataFrame([(6, 1), (8, 1), (9, 1), (3, None), (17, 0), (2, 0), (None, 1), (99, 1)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    rows = quality.scored(docs, model).collect()
+    assert len(rows) == len(_rows()) and all(0 <= r.score <= 1 for r in rows)
+    assert quality.scored(empty, quality.train(docs, labels.where("doc_id = -1"))).count() == 0
+
+
+def test_search_equals_scoring_every_text(docs, empty):
+    queries = docs.where("doc_id % 5 = 0")
+    got = search.top_k(docs, queries, 4, 6).collect()
+    bags = [(r[0], Counter(re.findall(r"[^\W_]+", (r[1] or "").lower()))) for r in _rows()]
+    df, mean = Counter(t for _, c in bags for t in c), sum(sum(c.values()) for _, c in bags) / len(bags)
+    for query_id in (10, 15):
+        own = Counter(re.findall(r"[^\W_]+", TEXT[query_id].lower()))
+        scores = [sum(math.log(1 + (len(bags) - df[t] + .5) / (df[t] + .5)) * c[t] * 2.2 / (
+            c[t] + 1.2 * (.25 + .75 * sum(c.values()) / mean)) for t in own if t in c) for _, c in bags]
+        best = sorted((s for s in scores if s > 0), reverse=True)[:4]
+        assert np.allclose([r.score for r in sorted((r for r in got if r.query_id == query_id), key=lambda r: r.rank)], best)
+    assert search.top_k(empty, empty).count() == 0
+
+
+def test_pipeline_keeps_columns_and_takes_effect(spark, docs, empty):
+    corpus = pytest.importorskip("corpus_pipeline")
+    for table in (docs, empty):
+        step = table
+        for name, stage in corpus.STAGES[:-1]:
+            step = stage(spark, step, "")
+            assert step.columns == docs.columns, name
+        packed = corpus.STAGES[-1][1](spark, step, "")
+        assert (packed.count() > 0) == (table is docs)
