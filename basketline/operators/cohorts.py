@@ -29,7 +29,7 @@ def retention(
         name: F.max(F.when(F.col("age").between(*span), 1).otherwise(0)).alias(name)
         for name, span in horizons.items()
     }
-    users = daily.groupBy("user", "first_date").agg(*returned.values()).where("first_date IS NOT NULL")
+    users = daily.groupBy("user", "first_date").agg(*returned.values())  # users without a day are a cohort too
     known = F.col("user").isNotNull()
     totals = users.groupBy("first_date").agg(
         F.count("user").alias("new_users"),
@@ -74,11 +74,11 @@ def interval_histogram(
     """Days between consecutive events of a user, counted per bin, smallest interval first.
 
     Events of one day are 0 days apart, so the counts per user and day hold all
-    intervals: n - 1 zeros within the day and one step from the day before.
+    intervals: n - 1 zeros within the day and one step from the day before. Events without a day have none.
     """
     daily = df.groupBy(F.col(user).alias("user"), F.col(day).alias("day")).agg(F.count(F.lit(1)).alias("events"))
     before = F.lag("day").over(W.partitionBy("user").orderBy("day"))
-    gaps = daily.select(F.datediff("day", before).alias("gap"), (F.col("events") - 1).alias("same_day"))
+    gaps = daily.select(F.datediff("day", before).alias("gap"), F.when(F.col("day").isNotNull(), F.col("events") - 1).otherwise(0).alias("same_day"))
     by_gap = gaps.groupBy("gap").agg(F.count("gap").alias("steps"), F.sum("same_day").alias("same_day"))
     # From here on one row per distinct interval.
     both = F.explode(F.array(

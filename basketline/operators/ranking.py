@@ -73,67 +73,56 @@ def rank_within(
     return with_null_keys(rows.join(ranks, key), [*by, metric]).select(*df.columns, name)
 
 
-def tile_cutoffs(df: DataFrame, measures: dict[str, Column], id_column: str, tiles: int) -> dict[str, list[tuple]]:
-    """Per measure, the last (value, id) of every tile but the final one, in ascending order.
+def tile_cutoffs(df: DataFrame, value: Column, id_column: str, tiles: int, nulls_last: bool = False) -> list[tuple]:
+    """The last (flag, value, id) of every tile but the final one, in ascending order; the flag sorts NULLs.
 
-    All measures are stacked and range-partitioned together, the partition number is
-    stored with the rows, and counts per partition tell where each cut-off lies; only
-    those partitions are read again and sorted. The bounds of a range partitioning are sampled, hence the
-    stored table: counts and rows have to come from the same partitioning.
+    The rows are range-partitioned in their own type and stored with the partition number, and counts
+    per partition tell where each cut-off lies; only those partitions are read again and sorted. The
+    bounds of a range partitioning are sampled, hence the stored table: counts and rows have to come from
+    the same partitioning.
     """
-    stacked = None
-    for name, value in measures.items():
-        part = df.select(
-            F.lit(name).alias("measure"), value.cast("decimal(20,2)").alias("value"), F.col(id_column).alias("id")
-        )
-        stacked = part if stacked is None else stacked.unionByName(part)
-    placed = stacked.repartitionByRange("measure", "value", "id").withColumn("part", F.spark_partition_id())
+    part = df.select(_null_flag(value, nulls_last).alias("flag"), value.alias("value"), F.col(id_column).alias("id"))
+    placed = part.repartitionByRange("flag", "value", "id").withColumn("part", F.spark_partition_id())
     placed = materialize(placed, "tiles")
 
-    # One row per measure and partition: a list as short as Spark's own partition bounds.
-    sizes: dict[str, list[tuple[int, int]]] = {name: [] for name in measures}
-    for r in placed.groupBy("measure", "part").agg(F.count(F.lit(1)).alias("rows")).collect():
-        sizes[r.measure].append((r.part, r.rows))
+    # One row per partition: a list as short as Spark's own partition bounds.
+    sizes = {r.part: r.rows for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    total, start = sum(sizes.values()), 0
+    last_rows = sorted({i * (total // tiles) + min(i, total % tiles) for i in range(1, tiles)})
+    ends = []  # (partition, position in it) of the last row of each tile
+    for part, n in sorted(sizes.items()):
+        ends += [(part, end - start) for end in last_rows if start < end <= start + n]
+        start += n
+    if not ends:
+        return []
+    position = F.row_number().over(W.partitionBy("part").orderBy("flag", "value", "id"))
+    at = reduce(lambda x, y: x | y, [(F.col("part") == p) & (F.col("position") == n) for p, n in ends])
+    found = (placed.where(F.col("part").isin(sorted({p for p, _ in ends})))
+             .withColumn("position", position).where(at).collect())  # at most tiles - 1 rows
+    return [(r.flag, r.value, r.id) for r in sorted(found, key=lambda r: (r.part, r.position))]
 
-    ends = {}  # (measure, partition, position in it) of the last row of each tile
-    for name, parts in sizes.items():
-        total, start = sum(n for _, n in parts), 0
-        last_rows = {i * (total // tiles) + min(i, total % tiles) for i in range(1, tiles)}
-        for part, n in sorted(parts):
-            ends.update({(name, part, end - start): None for end in sorted(last_rows) if start < end <= start + n})
-            start += n
 
-    if not ends:
-        return {name: [] for name in measures}
-    here = lambda name, part: (F.col("measure") == name) & (F.col("part") == part)
-    any_of = lambda conditions: reduce(lambda x, y: x | y, conditions)
-    position = F.row_number().over(W.partitionBy("measure", "part").orderBy("value", "id"))
-    found = (
-        placed.where(any_of([here(name, part) for name, part in sorted({key[:2] for key in ends})]))
-        .withColumn("position", position)
-        .where(any_of([here(name, part) & (F.col("position") == at) for name, part, at in ends]))
-    )
-    for r in found.collect():  # at most measures x (tiles - 1) rows
-        ends[r.measure, r.part, r.position] = (r.value, r.id)
-    return {name: [cut for key, cut in ends.items() if key[0] == name] for name in measures}
+def _null_flag(value: Column, nulls_last: bool) -> Column:
+    return F.when(value.isNull(), 1 if nulls_last else -1).otherwise(0)
 
 
 def ntile_scores(df: DataFrame, measures: dict[str, Column], id_column: str, tiles: int = 5,
-                 where: Column | None = None) -> DataFrame:
+                 where: Column | None = None, nulls_last: Sequence[str] = ()) -> DataFrame:
     """Add one tile number per measure, ascending by (measure, id), without a global sort task.
 
-    Rows outside ``where`` get NULL. The cut-offs are a handful of literals, so scoring
-    itself is a projection of ``df``; ``df`` should be a stored table.
+    NULL measures come first, or last for those in ``nulls_last``. Rows outside ``where`` get NULL. The cut-offs are a
+    handful of literals, so scoring itself is a projection of ``df``; ``df`` should be a stored table.
     """
     scored = df if where is None else df.where(where)
-    cutoffs = tile_cutoffs(scored, measures, id_column, tiles)
     types = dict(df.select(*(value.alias(name) for name, value in measures.items())).dtypes)
     columns = {}
     for name, value in measures.items():
-        tile = F.lit(1)
-        for cut_value, cut_id in cutoffs[name]:
+        flag, tile = _null_flag(value, name in nulls_last), F.lit(1)
+        for cut_flag, cut_value, cut_id in tile_cutoffs(scored, value, id_column, tiles, name in nulls_last):
             cut = F.lit(cut_value).cast(types[name])
-            beyond = (value > cut) | ((value == cut) & (F.col(id_column) > F.lit(cut_id)))
+            later = F.col(id_column) > F.lit(cut_id)
+            same = value.eqNullSafe(cut) & later
+            beyond = (flag > cut_flag) | ((flag == cut_flag) & (F.coalesce(value > cut, F.lit(False)) | same))
             tile = tile + F.when(beyond, 1).otherwise(0)
         columns[name] = tile if where is None else F.when(where, tile)
     return df.withColumns(columns)

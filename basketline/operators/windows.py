@@ -1,24 +1,18 @@
 """Ordered per-key operators that no single key can overload.
 
-A window gives each key to one task. Keys with more than ``hot_rows`` rows are therefore
-taken out, range-partitioned by key and order so that such a key fills several slices of
-even size, and stored; the window runs inside a slice, and a small table carries the totals
-of the earlier slices forward. Without hot keys, which one narrow count tells beforehand,
-the plan is the plain window: one shuffle of the rows.
+A window gives each key to one task. So the rows are range-partitioned by key and order, which lays a
+heavy key over several slices of even size, and stored; the window runs inside a slice, and a small
+table carries the totals of the earlier slices forward. Every table gets this one plan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..storage import materialize
 
-# A table of n rows has at most n / HOT_ROWS hot keys: about 100,000 for 10^11 rows,
-# which is what makes broadcasting them safe.
-HOT_ROWS = 1_000_000
-
 _SLICE = "__slice"
 _NEUTRAL = {"string": "''", "date": "date'0001-01-01'", "timestamp_ntz": "timestamp_ntz'0001-01-01'",
             "timestamp": "timestamp'0001-01-01'", "boolean": "false"}
@@ -46,29 +40,13 @@ def with_null_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def _by_temperature(
-    df: DataFrame, by: Sequence[str], hot_rows: int,
-    plain: Callable[[DataFrame, list[str]], DataFrame], sliced: Callable[[DataFrame, list[str]], DataFrame],
-) -> DataFrame:
-    """``plain`` over the rows of ordinary keys, together with ``sliced`` over those of hot keys."""
-    rows, keys = without_null_keys(df, by)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = counts.where(F.col("__rows") > hot_rows).select(*keys)
-    if hot.count() == 0:
-        return with_null_keys(plain(rows, keys), by)
-    hot = F.broadcast(materialize(hot, "hot_keys"))
-    cold_part = plain(rows.join(hot, keys, "left_anti"), keys)
-    hot_part = sliced(rows.join(hot, keys, "left_semi"), keys)
-    return with_null_keys(cold_part.unionByName(hot_part), by)
-
-
 def _sliced(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Store ``rows`` in ranges of (keys, order), numbered ascending in ``__slice``.
 
     Range bounds are sampled, so rows and totals must come from the one stored partitioning.
     """
     placed = rows.repartitionByRange(*keys, *order).withColumn(_SLICE, F.spark_partition_id())
-    return materialize(placed, "hot_rows")
+    return materialize(placed, "slices")
 
 
 def _before(totals: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
@@ -78,7 +56,7 @@ def _before(totals: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
 
 
 def sequence_number(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "seq", hot_rows: int = HOT_ROWS
+    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "seq"
 ) -> DataFrame:
     """Number the rows of each key 1, 2, … by ``order``.
 
@@ -87,64 +65,51 @@ def sequence_number(
     def number(keys: Sequence[str]) -> Column:
         return F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint")
 
-    def plain(rows: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.withColumn(name, number(keys))
-
-    def sliced(rows: DataFrame, keys: list[str]) -> DataFrame:
-        placed, cell = _sliced(rows, keys, order), [*keys, _SLICE]
-        totals = placed.groupBy(*cell).agg(F.count(F.lit(1)).alias("__rows"))
-        joined = placed.withColumn(name, number(cell)).join(_before(totals, keys, "__rows"), cell)
-        ahead = F.coalesce(F.col("__before"), F.lit(0))
-        return joined.withColumn(name, F.col(name) + ahead).drop(_SLICE, "__before")
-
-    return _by_temperature(df, by, hot_rows, plain, sliced).select(*df.columns, name)
+    rows, keys = without_null_keys(df, by)
+    placed, cell = _sliced(rows, keys, order), [*keys, _SLICE]
+    totals = placed.groupBy(*cell).agg(F.count(F.lit(1)).alias("__rows"))
+    joined = placed.withColumn(name, number(cell)).join(_before(totals, keys, "__rows"), cell)
+    joined = joined.withColumn(name, F.col(name) + F.coalesce(F.col("__before"), F.lit(0)))
+    return with_null_keys(joined, by).select(*df.columns, name)
 
 
 def running_sum(
-    df: DataFrame, by: Sequence[str], order: str, value: str, name: str = "running", hot_rows: int = HOT_ROWS
+    df: DataFrame, by: Sequence[str], order: str, value: str, name: str = "running"
 ) -> DataFrame:
     """Sum of ``value`` up to and including the current time; rows of one time share it."""
-    def plain(rows: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.withColumn(name, F.sum(value).over(W.partitionBy(*keys).orderBy(order)))
-
-    def sliced(rows: DataFrame, keys: list[str]) -> DataFrame:
-        # Rows of one time are summed first: they share the result, and there may be many.
-        rows, (time, missing) = without_null_keys(rows, [order])
-        times = rows.groupBy(*keys, time, missing).agg(F.sum(value).alias("__sum"))
-        in_time = [F.desc(missing), F.asc(time)]  # rows without a time come first
-        placed, cell = _sliced(times, keys, in_time), [*keys, _SLICE]
-        totals = placed.groupBy(*cell).agg(F.sum("__sum").alias("__total"))
-        local = F.sum("__sum").over(W.partitionBy(*cell).orderBy(*in_time))
-        joined = placed.withColumn("__local", local).join(_before(totals, keys, "__total"), cell)
-        total = F.coalesce(F.col("__local") + F.col("__before"), F.col("__local"), F.col("__before"))
-        joined = joined.select(*keys, time, missing, total.alias(name))
-        return with_null_keys(rows.join(joined, [*keys, time, missing]), [order])
-
-    return _by_temperature(df, by, hot_rows, plain, sliced).select(*df.columns, name)
+    kind = df.select(F.sum(value).alias("s")).schema["s"].dataType
+    rows, keys = without_null_keys(df, by)
+    # Rows of one time are summed first: they share the result, and there may be many.
+    rows, (time, missing) = without_null_keys(rows, [order])
+    times = rows.groupBy(*keys, time, missing).agg(F.sum(value).alias("__sum"))
+    in_time = [F.desc(missing), F.asc(time)]  # rows without a time come first
+    placed, cell = _sliced(times, keys, in_time), [*keys, _SLICE]
+    totals = placed.groupBy(*cell).agg(F.sum("__sum").alias("__total"))
+    local = F.sum("__sum").over(W.partitionBy(*cell).orderBy(*in_time))
+    joined = placed.withColumn("__local", local).join(_before(totals, keys, "__total"), cell)
+    total = F.coalesce(F.col("__local") + F.col("__before"), F.col("__local"), F.col("__before")).cast(kind)
+    joined = joined.select(*keys, time, missing, total.alias(name))
+    joined = with_null_keys(rows.join(joined, [*keys, time, missing]), [order])
+    return with_null_keys(joined, by).select(*df.columns, name)
 
 
 def with_previous(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], columns: dict[str, str], hot_rows: int = HOT_ROWS
+    df: DataFrame, by: Sequence[str], order: Sequence[str], columns: dict[str, str]
 ) -> DataFrame:
     """Add, for each ``{column: new name}``, the value in the key's previous row."""
-    def plain(rows: DataFrame, keys: list[str]) -> DataFrame:
-        window = W.partitionBy(*keys).orderBy(*order)
-        return rows.select("*", *(F.lag(c).over(window).alias(new) for c, new in columns.items()))
-
-    def sliced(rows: DataFrame, keys: list[str]) -> DataFrame:
-        placed, cell = _sliced(rows, keys, order), [*keys, _SLICE]
-        window = W.partitionBy(*cell).orderBy(*order)
-        lagged = plain(placed, cell).withColumn("__first", F.row_number().over(window) == 1)
-        carried = F.struct(*(F.col(c).alias(c) for c in columns)).alias("__row")
-        last = placed.select(*cell, carried, F.lead(F.lit(1)).over(window).isNull().alias("__last")).where("__last")
-        by_slice = W.partitionBy(*keys).orderBy(_SLICE)
-        last = last.select(*cell, F.lag("__row").over(by_slice).alias("__before"))
-        joined = lagged.join(last, cell)
-        for c, new in columns.items():
-            joined = joined.withColumn(new, F.when(F.col("__first"), F.col("__before")[c]).otherwise(F.col(new)))
-        return joined.drop(_SLICE, "__first", "__before")
-
-    return _by_temperature(df, by, hot_rows, plain, sliced).select(*df.columns, *columns.values())
+    rows, keys = without_null_keys(df, by)
+    placed, cell = _sliced(rows, keys, order), [*keys, _SLICE]
+    window = W.partitionBy(*cell).orderBy(*order)
+    lagged = placed.select("*", *(F.lag(c).over(window).alias(new) for c, new in columns.items()),
+                           (F.row_number().over(window) == 1).alias("__first"))
+    carried = F.struct(*(F.col(c).alias(c) for c in columns)).alias("__row")
+    last = placed.select(*cell, carried, F.lead(F.lit(1)).over(window).isNull().alias("__last")).where("__last")
+    by_slice = W.partitionBy(*keys).orderBy(_SLICE)
+    last = last.select(*cell, F.lag("__row").over(by_slice).alias("__before"))
+    joined = lagged.join(last, cell)
+    for c, new in columns.items():
+        joined = joined.withColumn(new, F.when(F.col("__first"), F.col("__before")[c]).otherwise(F.col(new)))
+    return with_null_keys(joined, by).select(*df.columns, *columns.values())
 
 
 def first_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], keep: Sequence[str]) -> DataFrame:

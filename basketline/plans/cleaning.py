@@ -33,6 +33,7 @@ def clean_orders(orders: DataFrame, max_amount: float = SUSPICIOUS_AMOUNT) -> Da
 
 
 def quarantined_orders(orders: DataFrame, max_amount: float = SUSPICIOUS_AMOUNT) -> DataFrame:
-    """The deduplicated orders that :func:`clean_orders` leaves out, with the reason."""
+    """The deduplicated orders that :func:`clean_orders` leaves out, with the reason; without a key, every row."""
     keyed = _latest(orders.where("order_id IS NOT NULL"))
-    return keyed.withColumn("reason", _reason(max_amount)).where("reason IS NOT NULL")
+    unnamed = orders.where("order_id IS NULL").withColumn("reason", F.lit("null_order_id"))
+    return keyed.withColumn("reason", _reason(max_amount)).where("reason IS NOT NULL").unionByName(unnamed)

@@ -123,7 +123,7 @@ def add_rfm(base: DataFrame) -> DataFrame:
             "f_score": F.col("valid_orders"),
             "m_score": F.col("total_amount"),
         },
-        "user_id", 5, where=F.col("valid_orders") > 0,
+        "user_id", 5, where=F.col("valid_orders") > 0, nulls_last=["r_score"],  # as a descending sort places them
     )
     scores = [F.col(c) for c in ("r_score", "f_score", "m_score")]
     return scored.withColumns({"rfm_score": rfm_score(*scores), "rfm_segment": rfm_segment(*scores)})

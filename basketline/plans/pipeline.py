@@ -8,12 +8,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..schemas import PRIMARY_KEYS
 from ..sources.tables import load_ods, overwrite, read_table
 from ..storage import hadoop_path, temporary_tables
 from .ads import ads_daily_kpis
 from .dwd import build_dwd_order_items, build_dwd_orders, with_order_month
 from .dws import build_date_summary, build_product_summary, build_user_summary
-from .quality import PUBLISHED_ROW_BANDS, dq_row_bands, require
+from .quality import dq_primary_key, dq_row_bands, require
 
 
 class AlreadyRunning(RuntimeError):
@@ -34,7 +35,7 @@ def _only_run(spark: SparkSession, warehouse: str):
 
 def run_pipeline(
     spark: SparkSession, source_dir: str, warehouse: str, as_of: dt.date | str | None = None,
-    row_bands: Mapping[str, tuple[int, int]] | None = PUBLISHED_ROW_BANDS,
+    row_bands: Mapping[str, tuple[int, int]] | None = None,
 ) -> dict[str, DataFrame]:
     """Reload every layer from the raw files and return the stored tables.
 
@@ -55,6 +56,10 @@ def run_pipeline(
         items = build_dwd_order_items(t["ods_order_items"], t["ods_orders"], t["ods_products"])
         store("dwd_order_items", with_order_month(items, "order_time"), "order_month")
 
+        for name, key in PRIMARY_KEYS.items():  # the sums below count rows per key
+            if name in t:
+                require(dq_primary_key(t[name], name, key))
+
         users = build_user_summary(t["dwd_orders"], t["dwd_order_items"], t["ods_users"], as_of)
         store("dws_user_summary", users)
         store("dws_product_summary", build_product_summary(t["dwd_order_items"]))

@@ -18,19 +18,22 @@ def is_temporal_name(name: str) -> bool:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType, parse_dates: Sequence[str] | None = None
+    spark: SparkSession, path: str, schema: StructType, parse_dates: Sequence[str] | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """Scan a headered CSV into the declared types.
 
     Dates and times are read as text and parsed leniently; ``parse_dates`` names them when
-    the names alone do not tell. A header that differs from the schema raises, instead of
+    the names alone do not tell. Quotes inside a quoted field are doubled, and a field may hold line breaks, so
+    that a file is read by one task; ``multiline=False`` splits large files that hold none. A header that differs from the schema raises, instead of
     shifting columns silently.
     """
     temporal = [f.name for f in schema.fields if is_temporal_name(f.name)] if parse_dates is None else parse_dates
     raw = StructType([
         StructField(f.name, StringType() if f.name in temporal else f.dataType) for f in schema.fields
     ])
-    df = spark.read.schema(raw).option("header", True).option("enforceSchema", False).csv(path)
+    df = spark.read.schema(raw).option("header", True).option("enforceSchema", False)
+    df = df.option("escape", '"').option("multiLine", multiline).csv(path)
     return parse_temporal(df, {name: schema[name].dataType.simpleString() for name in temporal})
 
 
@@ -46,6 +49,8 @@ def parse_temporal(df: DataFrame, columns: dict[str, str] | Sequence[str] | None
     parsed = {}
     for name, kind in columns.items():
         text = F.nullif(F.trim(F.col(name)), F.lit(""))
+        text = F.regexp_replace(text, r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
+        text = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(?=\D|$)", "$1-$2-$3")
         # A time given for a date column is cut to its day.
         time = text.try_cast("timestamp_ntz")
         parsed[name] = time.cast("date") if kind == "date" else time.cast(kind)
@@ -65,5 +70,5 @@ def write_csv(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite").option("header", True)
         .option("timestampNTZFormat", TIME_FORMAT).option("timestampFormat", TIME_FORMAT)
-        .option("emptyValue", "").csv(path)
+        .option("emptyValue", "").option("escape", '"').csv(path)
     )

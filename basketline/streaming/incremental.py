@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,23 +23,37 @@ def last_load_time(spark: SparkSession, state_dir: str, name: str) -> str:
     return newest or _BEFORE_ALL
 
 
+def _loads(spark: SparkSession, state_dir: str, name: str) -> int:
+    """How many loads have stored rows."""
+    path = f"{state_dir.rstrip('/')}/{name}_marks"
+    return spark.read.schema("loaded_rows bigint").parquet(path).count() if path_exists(spark, path) else 0
+
+
 def incremental_load(
     spark: SparkSession, source: DataFrame, target: str, state_dir: str, name: str, time_column: str,
-    upto: dt.datetime | str | None = None,
+    upto: dt.datetime | str | None = None, key: Sequence[str] | None = None,
 ) -> int:
     """Append the rows of ``source`` newer than the last load, then record the new mark.
 
     Each load is a folder of its own named after its lower mark and written as a whole, so
     a load that failed before its mark is simply overwritten by the next attempt, and no
-    row is loaded twice. The filter reaches the source scan. Rows that arrive later with a
-    time at or before the mark are not picked up. Returns the number of rows loaded.
+    row is loaded twice. With ``key``, a load takes every row whose key no load has stored: late
+    rows and rows without a time too. Without it the filter reaches the source scan, rows without a time
+    belong to the first load, and rows that arrive later with a time at or before the mark
+    are not picked up. Returns the number of rows loaded.
     """
     since = last_load_time(spark, state_dir, name)
     time = F.col(time_column)
-    fresh = source.where(time > F.lit(since).cast("timestamp_ntz"))
+    done = _loads(spark, state_dir, name)
+    newer = time > F.lit(since).cast("timestamp_ntz")
+    fresh = source if key else source.where(newer if done else newer | time.isNull())
     if upto is not None:
-        fresh = fresh.where(time <= F.lit(str(upto)).cast("timestamp_ntz"))
-    label = "".join(ch if ch.isalnum() else "-" for ch in since)
+        fresh = fresh.where(time.isNull() | (time <= F.lit(str(upto)).cast("timestamp_ntz")))
+    if key and done:
+        stored = read_loaded(spark, target).select(*[F.col(c).alias(f"__{c}") for c in key])
+        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key))
+        fresh = fresh.join(stored, same, "left_anti")
+    label = "".join(ch if ch.isalnum() else "-" for ch in since) + (f"-{done}" if done else "")
     path = f"{target.rstrip('/')}/load_after={label}"
     fresh.write.mode("overwrite").parquet(path)
 

@@ -25,26 +25,20 @@ def facts(spark):
     ).cache()
 
 
-HOT = [3, 50, 10_000]
-
-
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_sequence_number(facts, hot_rows):
-    got = windows.sequence_number(facts, ["user"], ["t", "id"], "seq", hot_rows)
+def test_sequence_number(facts):
+    got = windows.sequence_number(facts, ["user"], ["t", "id"], "seq")
     expected = facts.withColumn("seq", F.row_number().over(W.partitionBy("user").orderBy("t", "id")))
     assert rows(got, "id", "user", "seq") == rows(expected, "id", "user", "seq")
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_running_sum_shares_totals_among_ties(facts, hot_rows):
-    got = windows.running_sum(facts, ["user"], "t", "v", "total", hot_rows)
+def test_running_sum_shares_totals_among_ties(facts):
+    got = windows.running_sum(facts, ["user"], "t", "v", "total")
     expected = facts.withColumn("total", F.sum("v").over(W.partitionBy("user").orderBy("t")))
     assert rows(got, "id", "total") == rows(expected, "id", "total")
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_with_previous(facts, hot_rows):
-    got = windows.with_previous(facts, ["user"], ["t", "id"], {"t": "pt", "v": "pv"}, hot_rows)
+def test_with_previous(facts):
+    got = windows.with_previous(facts, ["user"], ["t", "id"], {"t": "pt", "v": "pv"})
     order = W.partitionBy("user").orderBy("t", "id")
     expected = facts.withColumn("pt", F.lag("t").over(order)).withColumn("pv", F.lag("v").over(order))
     assert rows(got, "id", "user", "pt", "pv") == rows(expected, "id", "user", "pt", "pv")
@@ -60,9 +54,9 @@ def test_hot_key_with_one_single_time(spark):
     order = W.partitionBy("user").orderBy("t", "id")
     expected = df.select("*", F.row_number().over(order).alias("seq"), F.lag("v").over(order).alias("pv"),
                          F.sum("v").over(W.partitionBy("user").orderBy("t")).alias("total"))
-    seq = windows.sequence_number(df, ["user"], ["t", "id"], "seq", 500)
-    previous = windows.with_previous(df, ["user"], ["t", "id"], {"v": "pv"}, 500)
-    total = windows.running_sum(df, ["user"], "t", "v", "total", 500)
+    seq = windows.sequence_number(df, ["user"], ["t", "id"], "seq")
+    previous = windows.with_previous(df, ["user"], ["t", "id"], {"v": "pv"})
+    total = windows.running_sum(df, ["user"], "t", "v", "total")
     assert rows(seq, "id", "seq") == rows(expected, "id", "seq")
     assert rows(previous, "id", "pv") == rows(expected, "id", "pv")
     assert rows(total, "id", "total") == rows(expected, "id", "total")
@@ -204,3 +198,24 @@ def test_top_k_and_report(spark, capsys):
     assert [r.id for r in ranking.top_k(df, [F.desc("v"), F.asc("id")], 2).collect()] == [9, 19]
     summaries.report(df.limit(1), "a title")
     assert "a title" in capsys.readouterr().out
+
+
+def test_ntile_equals_the_builtin_one_on_fractions_and_nulls(spark):
+    for n in (0, 1, 4, 7, 10, 23):
+        data = [(f"u{i:02d}", None if i % 5 == 4 else (i * 7 % 10) / 1000) for i in range(n)]
+        df = spark.createDataFrame(data, "id string, v double")
+        got = ranking.ntile_scores(df, {"a": F.col("v"), "d": -F.col("v")}, "id", 5, nulls_last=["d"])
+        expected = df.select("id", F.ntile(5).over(W.orderBy("v", "id")).alias("a"),
+                             F.ntile(5).over(W.orderBy(F.desc("v"), "id")).alias("d"))
+        assert rows(got, "id", "a", "d") == rows(expected, "id", "a", "d")
+
+
+def test_missing_days_are_a_cohort_but_no_interval(spark):
+    import datetime as dt
+
+    day = dt.date(2026, 1, 1)
+    df = spark.createDataFrame([("a", day), ("a", day + dt.timedelta(9)), ("a", None), ("a", None), ("a", None), ("b", None)],
+                               "u string, d date")
+    assert rows(cohorts.retention(df, "u", "d"), "first_date", "new_users") == [(None, 1), (day, 1)]
+    found = cohorts.interval_histogram(df, "u", "d", [(7, "0-7")], "rest")
+    assert rows(found, "interval_range", "repurchase_count") == [("rest", 1)]

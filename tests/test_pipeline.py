@@ -134,7 +134,7 @@ def test_clean_orders_keep_the_latest_plausible_row(spark):
     assert rows(kept, "order_id", "total_amount") == [("E", D("100000.00")), ("X", D("3.00"))]
     assert kept.columns == t.columns
     assert rows(cleaning.quarantined_orders(t), "order_id", "reason") == [
-        ("A", "null_user"), ("B", "null_amount"), ("C", "invalid_amount"), ("D", "invalid_amount"),
+        (None, "null_order_id"), ("A", "null_user"), ("B", "null_amount"), ("C", "invalid_amount"), ("D", "invalid_amount"),
         ("F", "suspicious_amount")]
 
 
@@ -183,3 +183,16 @@ def test_profiles(spark):
         (2, D("35.0000"), D("7.0711"), D("30.0000"), D("32.5000"), D("35.0000"), D("37.5000"), D("40.0000"))]
     assert profiling.preview(t["ods_users"], 2).count() == 2
     assert ("age", "int") in rows(profiling.column_types(t["ods_users"]))
+
+
+def test_incremental_load_by_key_takes_late_rows_and_rows_without_a_time(spark, tmp_path):
+    import datetime as dt
+
+    target, state = str(tmp_path / "t"), str(tmp_path / "s")
+    t = lambda day: dt.datetime(2026, 1, day)
+    frame = lambda data: spark.createDataFrame(data, "id int, time timestamp_ntz")
+    load = lambda data: incremental_load(spark, frame(data), target, state, "x", "time", key=["id"])
+    assert load([(1, t(2)), (2, None)]) == 2
+    assert load([(1, t(2)), (2, None), (3, t(1)), (4, None)]) == 2
+    assert load([(1, t(2)), (3, t(1))]) == 0
+    assert rows(read_loaded(spark, target), "id") == [(1,), (2,), (3,), (4,)]
