@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import SCHEMAS, conform
-from ..storage import path_exists
+from ..storage import hadoop_path, path_exists
 from .files import read_optional
 
 # Raw file of each ODS table, in loading order.
@@ -24,7 +26,11 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 
 
 def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace the table at ``path``. The plan of ``df`` must not read that path.
+    """Replace the table at ``path``.
+
+    The rows are written beside the old table, which goes only when they are complete: a write
+    that fails leaves the old content as it was. The swap is two renames, so readers that open
+    the table in between miss it; on an object store a rename copies.
 
     With a partition column the rows are first rebalanced on it: without that, every task
     would leave a file in every partition; and a plain hash on it would put a busy month
@@ -33,7 +39,21 @@ def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> None
     writer = df.write
     if partition_by:
         writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
-    writer.mode("overwrite").parquet(path)
+    fs, target = hadoop_path(df.sparkSession, path)
+    target = fs.makeQualified(target)
+    beside = f"{target.getParent().toString()}/_{target.getName()}-{uuid.uuid4().hex[:12]}"
+    (_, fresh), (_, old) = (hadoop_path(df.sparkSession, f"{beside}-{what}") for what in ("new", "old"))
+    try:
+        writer.parquet(fresh.toString())
+        if fs.exists(target) and not fs.rename(target, old):
+            raise OSError(f"cannot move {path} aside")
+        if not fs.rename(fresh, target):
+            if fs.exists(old):
+                fs.rename(old, target)
+            raise OSError(f"cannot put the new rows at {path}")
+        fs.delete(old, True)
+    finally:
+        fs.delete(fresh, True)
 
 
 def append(df: DataFrame, path: str) -> None:

@@ -110,6 +110,18 @@ def test_overwrite_append_read(spark, tmp_path):
     assert tables.read_table(spark, str(tmp_path / "wh"), "u").count() == 20
 
 
+def test_failed_overwrite_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.overwrite(spark.range(3), path)
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.overwrite(broken, path)
+    assert rows(spark.read.parquet(path)) == [(0,), (1,), (2,)]
+    tables.overwrite(spark.read.parquet(path).where("id > 0"), path)  # may read what it replaces
+    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_catalog_tables(spark):
     tables.ensure_namespace(spark, "shop")
     tables.ensure_namespace(spark, "shop")
