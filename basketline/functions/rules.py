@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from ..fixed_values import SEGMENTS, VALID_STATUSES
+from ..fixed_values import VALID_STATUSES
 
 
 def valid_order(status: Column) -> Column:
@@ -39,22 +39,19 @@ def rfm_score(r: Column, f: Column, m: Column) -> Column:
 
 
 def rfm_segment(r: Column, f: Column, m: Column) -> Column:
-    """Segment code. Any score of 3, and users without scores, fall to the last one.
-
-    The first seven segments are the high/low combinations, in their listed order, of
-    which the (low, low, low) one is left to the last.
-    """
+    """Segment code. Any score of 3, users without scores, and (low, low, low) fall to ``H_Churned``."""
     high, low = (lambda score: score >= 4), (lambda score: score <= 2)
-    patterns = [
-        (high, high, high), (low, high, high), (high, low, high), (low, low, high),
-        (high, high, low), (low, high, low), (high, low, low),
-    ]
+    patterns = {
+        "A_Important_Value": (high, high, high), "B_Important_Develop": (low, high, high),
+        "C_Important_Keep": (high, low, high), "D_Important_Recover": (low, low, high),
+        "E_General_Value": (high, high, low), "F_General_Develop": (low, high, low),
+        "G_General_Keep": (high, low, low),
+    }
     rules = [
-        (r_test(r) & f_test(f) & m_test(m), code)
-        for (r_test, f_test, m_test), (code, _, _) in zip(patterns, SEGMENTS)
+        (r_test(r) & f_test(f) & m_test(m), code) for code, (r_test, f_test, m_test) in patterns.items()
     ]
     chain = reduce(lambda acc, rule: acc.when(*rule), rules[1:], F.when(*rules[0]))
-    return chain.otherwise(SEGMENTS[-1][0])
+    return chain.otherwise("H_Churned")
 
 
 def clamp(value: Column, low, high) -> Column:

@@ -12,7 +12,6 @@ from ..operators.ranking import top_k
 from ..operators.summaries import share_of_total, table_census
 
 Tables = Mapping[str, DataFrame]
-SEGMENT_CODES = [code for code, _, _ in SEGMENTS]
 
 
 def segment_dimension(spark: SparkSession) -> DataFrame:
@@ -36,7 +35,7 @@ def segment_distribution(t: Tables) -> DataFrame:
 
 def vip_users(t: Tables, k: int = 20) -> DataFrame:
     """Highest spenders of the recent, frequent, high-spending segment."""
-    users = t["dws_user_summary"].where(F.col("rfm_segment") == SEGMENT_CODES[0]).select(
+    users = t["dws_user_summary"].where(F.col("rfm_segment") == "A_Important_Value").select(
         "user_id", "username", "city", "user_level", "valid_orders", "total_amount", "days_since_last",
         "r_score", "f_score", "m_score", "rfm_score",
     )
@@ -45,8 +44,7 @@ def vip_users(t: Tables, k: int = 20) -> DataFrame:
 
 def win_back_users(t: Tables, k: int = 30) -> DataFrame:
     """Highest spenders among those to recover and those who left."""
-    segment = F.col("rfm_segment")
-    users = t["dws_user_summary"].where((segment == SEGMENT_CODES[3]) | (segment == SEGMENT_CODES[7])).select(
+    users = t["dws_user_summary"].where(F.col("rfm_segment").isin("D_Important_Recover", "H_Churned")).select(
         "user_id", "username", "city", "valid_orders", "total_amount",
         F.col("days_since_last").alias("days_inactive"), "r_score", "f_score", "m_score",
     )
