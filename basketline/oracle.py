@@ -491,6 +491,15 @@ def oracle_sql() -> dict[str, str]:
     q["dq_pk_items"] = _checks(
         ("duplicate_keys", "lineitem", dup, 0, 0),
         ("null_keys", "lineitem", count("lineitem", "l_orderkey IS NULL OR l_partkey IS NULL"), 0, 0))
+    repeated = lambda table, key: f"SELECT COUNT(*) FROM (SELECT 1 FROM {table} GROUP BY {key} HAVING COUNT(*) > 1)"
+    keys = {"ods_users": "user_id", "ods_products": "product_id", "ods_orders": "order_id",
+            "ods_order_items": "order_id, product_id", "dwd_orders": "order_id",
+            "dwd_order_items": "order_id, product_id", "dws_user_summary": "user_id",
+            "dws_product_summary": "product_id", "dws_date_summary": "date"}
+    q["dq_primary_keys"] = dws(_checks(*(
+        check for table, key in keys.items() for check in (
+            ("duplicate_keys", table, repeated(table, key), 0, 0),
+            ("null_keys", table, count(table, " OR ".join(f"{c} IS NULL" for c in key.split(", "))), 0, 0)))))
     q["dq_status_domain"] = dwd(_check(
         "unknown_status", "ods_orders",
         count("ods_orders", "status IS NULL OR status NOT IN ('paid','shipped','received','refunded','cancelled')"),

@@ -60,7 +60,7 @@ def prev_order(t: Tables, limit: int | None = None) -> DataFrame:
 
 
 def first_orders(t: Tables, limit: int | None = None) -> DataFrame:
-    return _preview(t["dwd_orders"].where("is_first_order = 1"), limit, "order_id")
+    return _preview(t["dwd_orders"].drop("order_month").where("is_first_order = 1"), limit, "order_id")
 
 
 def user_repurchase_cycle(t: Tables, limit: int | None = None) -> DataFrame:
@@ -129,7 +129,7 @@ def active_30d(t: Tables, as_of: dt.date | str | None = None, window_days: int =
     """Users with at least ``min_orders`` valid orders in the last ``window_days`` days."""
     since = F.date_sub(as_of_date(as_of), window_days)
     recent = _valid(t).where(F.col("order_date") >= since)
-    if "order_month" in recent.columns:  # stored by month: skip whole folders
+    if "order_month" in recent.columns:  # facts that were not taken from stored layers lack it
         recent = recent.where(F.col("order_month") >= month_key(since))
     per_user = recent.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_orders)
     return per_user.agg(F.count(F.lit(1)).alias("active_user_count"))

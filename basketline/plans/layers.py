@@ -1,31 +1,43 @@
 """The tables that reports read, built on first use and stored.
 
-Raw tables are lazy views of the source. Fact and summary tables are written once per
-application and source folder, as the layers of a warehouse are, so a report scans a
-stored table instead of repeating the joins under it.
+Raw, fact and summary tables are written once per application and source folder, as the
+layers of a warehouse are, so a report scans a stored table instead of repeating the joins
+under it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import starschema
 from ..storage import fingerprint, materialize
-from .dwd import build_dwd_order_items, build_dwd_orders
+from .dwd import build_dwd_order_items, build_dwd_orders, with_order_month
 from .dws import build_date_summary, build_product_summary, build_user_summary
 
 
+#: The time that facts are partitioned by, by month.
+FACT_TIMES = {"dwd_orders": "create_time", "dwd_order_items": "order_time"}
+
+
 class Layers(Mapping):
-    """Table name -> DataFrame; asking for a table builds what it depends on."""
+    """Table name -> DataFrame; asking for a table builds what it depends on.
+
+    Raw tables are given as frames, used as they are, or as builders, whose result is stored.
+    ``by_month`` adds the order month to the facts and partitions them by it, as the pipeline does.
+    """
 
-    def __init__(self, ods: dict[str, DataFrame], as_of: dt.date | str | None, store: bool = True):
+    def __init__(self, ods: Mapping[str, DataFrame | Callable[[], DataFrame]], as_of: dt.date | str | None,
+                 store: bool = True, by_month: bool = False):
         self.as_of = as_of
-        self._tables = dict(ods)
+        self._tables = {name: df for name, df in ods.items() if not callable(df)}
         self._store = store
+        self._by_month = by_month
         self._builders: dict[str, Callable[[], DataFrame]] = {
+            **{name: build for name, build in ods.items() if callable(build)},
             "dwd_orders": lambda: build_dwd_orders(self["ods_orders"], self["ods_users"]),
             "dwd_order_items": lambda: build_dwd_order_items(
                 self["ods_order_items"], self["ods_orders"], self["ods_products"]
@@ -40,7 +52,10 @@ class Layers(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
             table = self._builders[name]()
-            self._tables[name] = materialize(table, name) if self._store else table
+            month = None
+            if self._by_month and name in FACT_TIMES:
+                table, month = with_order_month(table, FACT_TIMES[name]), "order_month"
+            self._tables[name] = materialize(table, name, month) if self._store else table
         return self._tables[name]
 
     def __iter__(self):
@@ -59,6 +74,6 @@ def layers_of(spark: SparkSession, folder: str) -> Layers:
     state = tuple(fingerprint(spark, f"{folder}/{name}.parquet") for name in sources)
     key = (id(spark._jvm), spark.sparkContext.applicationId, folder, state)
     if key not in _LAYERS:
-        ods = {name: build(spark, folder) for name, build in starschema.ODS_BUILDERS.items()}
-        _LAYERS[key] = Layers(ods, starschema.AS_OF)
+        ods = {name: partial(build, spark, folder) for name, build in starschema.ODS_BUILDERS.items()}
+        _LAYERS[key] = Layers(ods, starschema.AS_OF, by_month=True)
     return _LAYERS[key]

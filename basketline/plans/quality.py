@@ -106,6 +106,11 @@ def dq_primary_key(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     ])
 
 
+def dq_primary_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """:func:`dq_primary_key` of several tables, two rows each."""
+    return _union([dq_primary_key(tables[name], name, key) for name, key in keys.items()])
+
+
 def dq_status_domain(orders: DataFrame) -> DataFrame:
     """Orders in a state outside the five known ones (also wrong case or missing)."""
     unknown = ~F.coalesce(F.col("status").isin(*ORDER_STATUSES), F.lit(False))

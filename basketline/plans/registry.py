@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..operators import cohorts
+from ..schemas import PRIMARY_KEYS
 from ..sources import generate, starschema
 from ..sources.starschema import AS_OF, source_table
 from ..storage import materialize, new_path
@@ -90,6 +91,7 @@ def _checks() -> dict[str, Query]:
         "dq_row_bands": lambda t: quality.dq_row_bands(t),
         "dq_orders": lambda t: quality.dq_orders(t["ods_orders"]),
         "dq_first_orders": lambda t: quality.dq_first_orders(t["dwd_orders"]),
+        "dq_primary_keys": lambda t: quality.dq_primary_keys(t, PRIMARY_KEYS),
         "dq_status_domain": lambda t: quality.dq_status_domain(t["ods_orders"]),
         "dq_orphans": lambda t: quality.dq_orphans(
             t["ods_orders"], t["ods_order_items"], t["ods_users"], t["ods_products"]),

@@ -36,17 +36,19 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/basketline/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage, keeps column pruning and filter pushdown for the readers, and
-    outlives any executor.
+    outlives any executor. A partition column comes last in the result; the rows are
+    rebalanced on it, which splits busy values over tasks and merges small ones.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
     if (written := _WRITTEN.get()) is not None:
         written.append(path)
-    df.write.parquet(path)
+    writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

