@@ -85,9 +85,20 @@ def test_results_do_not_depend_on_how_keys_are_split(spark, shop):
 
 def test_hot_user_reports_equal_plain_windows(spark, shop):
     facts = build_dwd_orders(shop["orders"], shop["users"]).cache()
-    seq = dwd_reports.order_seq({"dwd_orders": facts})
-    assert seq.count() == facts.count()
-    assert "BroadcastHashJoin" not in executed(seq).split("Window")[0]
+    valid = facts.where("is_valid_order = 1").select("user_id", "order_id", "create_time", "total_amount")
+    user = Window.partitionBy("user_id")
+    ordered = user.orderBy("create_time", "order_id")
+    previous = valid.select("*", F.lag("create_time").over(ordered).alias("at"), F.lag("total_amount").over(ordered).alias("paid"))
+    expected = {
+        "order_seq": valid.select("*", F.row_number().over(ordered)),
+        "cumulative_spend": valid.select("*", F.sum("total_amount").over(user.orderBy("create_time")).cast("decimal(18,2)")),
+        "prev_order": previous.select("*", F.datediff("create_time", "at")),
+    }
+    with settings(spark, **SMALL_PARTITIONS):
+        for name, plain in expected.items():
+            assert rows(getattr(dwd_reports, name)({"dwd_orders": facts})) == rows(plain), name
+        seq = dwd_reports.order_seq({"dwd_orders": facts})
+        assert "BroadcastHashJoin" not in executed(seq).split("Window")[0]
 
 
 def test_copies_of_one_order_are_cut_before_the_shuffle(spark, shop):
