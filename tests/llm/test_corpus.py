@@ -194,7 +194,7 @@ def test_quality_learns_and_scores_everything(spark, docs, empty):
 
 def test_search_equals_scoring_every_text(docs, empty):
     queries = docs.where("doc_id % 5 = 0")
-    got = search.top_k(docs, queries, 4, 6).collect()
+    got = search.top_k(docs, queries, 4, 6_000).collect()
     bags = [(r[0], Counter(re.findall(r"[^\W_]+", (r[1] or "").lower()))) for r in _rows()]
     df, mean = Counter(t for _, c in bags for t in c), sum(sum(c.values()) for _, c in bags) / len(bags)
     for query_id in (10, 15):
@@ -206,6 +206,26 @@ def test_search_equals_scoring_every_text(docs, empty):
     assert search.top_k(empty, empty).count() == 0
 
 
+def test_shard_rules_out_only_what_cannot_be_among_the_best():
+    random = np.random.default_rng(3)
+    found = [np.unique(np.minimum(random.zipf(1.2, random.integers(1, 80)), 3000), return_counts=True) for _ in range(900)]
+    found += found[:40] + [(np.zeros(0, np.int64),) * 2]  # copies tie; a text without terms
+    terms, counts = [t.astype(np.int64) for t, _ in found], [c for _, c in found]
+    mean = sum(c.sum() for c in counts) / len(counts)
+    known, n = np.unique(np.concatenate(terms), return_counts=True)
+    idf = dict(zip(known.tolist(), np.log(1 + (len(found) - n + .5) / (n + .5))))
+    ids = list(range(len(found) - 2)) + [None, 5000]
+    shard = search.Shard(ids, terms, counts, mean)
+    for top in (1, 10, 2000):
+        for asked in (*terms[::60], np.array([99_999])):
+            weights = np.array([idf.get(t, 1.0) for t in asked.tolist()])
+            score = [sum(idf[t] * f * 2.2 / (f + 1.2 * (.25 + .75 * c.sum() / mean)) for t, f in zip(own.tolist(), c.tolist())
+                         if t in set(asked.tolist())) for own, c in zip(terms, counts)]
+            best = sorted((-round(s, 9), i is None, i or 0) for s, i in zip(score, ids) if s > 0)[:top]
+            got = shard.search(asked, weights, top)
+            assert [(-round(s, 9), i is None, i or 0) for s, i in got] == best
+
+
 def test_pipeline_keeps_columns_and_takes_effect(spark, docs, empty):
     corpus = pytest.importorskip("corpus_pipeline")
     for table in (docs, empty):
