@@ -81,9 +81,10 @@ def chunks(docs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Stretches of whole chunks that other rows have too, of ``min_chars`` characters at least.
 
-    Columns doc_id, start, end (characters, end exclusive), n_chunks, rows (the most rows that any of its chunks occurs
-    in, counted with repeats inside them), first_doc_id (the smallest id with one of its chunks; itself in the first document) and
-    first (whether that is this document, so that this copy is the one to keep).
+    A stretch is cut where the first document of its chunks changes, so that each part has one; its length
+    counts as a whole. Columns doc_id, start, end (characters, end exclusive), n_chunks, rows (the most rows that any
+    of its chunks occurs in, counted with repeats inside them), first_doc_id (the smallest id with each of its chunks)
+    and first (whether that is this document, so that this copy is the one to keep).
     A passage that repeats only inside one row is none of these. NULL and empty texts have no chunk. Repeated rows
     repeat each other's passages. Positions refer to the rows' own texts, so rows that share an id are not told apart
     in the result.
@@ -94,12 +95,15 @@ def repeated_spans(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         F.count(F.lit(1)).alias("_n")).where("_low < _high")
     hits = stored.join(shared, ["d1", "d2"])
     in_order = W.partitionBy("row").orderBy("start")
-    fresh = F.coalesce(F.lag("end").over(in_order) != F.col("start"), F.lit(True)).cast("int")
-    runs = hits.withColumn("_new", fresh).withColumn("_run", F.sum("_new").over(in_order))
-    spans = runs.groupBy("row", "_run").agg(
+    fresh = F.coalesce(F.lag("end").over(in_order) != F.col("start"), F.lit(True))
+    other = ~F.lag("_first").over(in_order).eqNullSafe(F.col("_first"))
+    parts = hits.withColumns({"_new": fresh.cast("int"), "_other": (fresh | other).cast("int")}).withColumns(
+        {"_run": F.sum("_new").over(in_order), "_part": F.sum("_other").over(in_order)})
+    spans = parts.groupBy("row", "_run", "_part").agg(
         F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"),
-        F.count(F.lit(1)).alias("n_chunks"), F.max("_n").alias("rows"), F.min("_first").alias("first_doc_id"))
-    return spans.where(F.col("end") - F.col("start") >= min_chars).select(
+        F.count(F.lit(1)).alias("n_chunks"), F.max("_n").alias("rows"), F.first("_first").alias("first_doc_id"))
+    whole = F.sum(F.col("end") - F.col("start")).over(W.partitionBy("row", "_run"))
+    return spans.withColumn("_whole", whole).where(F.col("_whole") >= min_chars).select(
         "doc_id", "start", "end", "n_chunks", "rows", "first_doc_id",
         F.col("doc_id").eqNullSafe(F.col("first_doc_id")).alias("first"))
 

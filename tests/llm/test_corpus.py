@@ -171,6 +171,15 @@ def test_repeated_passages(docs, empty):
     assert short[11] == TEXT[11] and len(short[12]) < len(TEXT[12]) / 2
 
 
+def test_each_part_of_a_repeated_passage_stays_in_its_first_document(spark, docs):
+    a, b = " ".join(WORDS[:120]), " ".join(WORDS[150:300])
+    texts = {1: a + " zz one", 5: "five " + a + " " + b, 6: "six " + a + " " + b, 7: "seven " + b}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    left = {r.doc_id: r.text for r in chunks.without_repeats(table).collect()}
+    assert left[1] == texts[1] and b[200:] in left[5] and a[300:500] not in left[5]
+    assert b[300:500] not in left[6] and b[300:500] not in left[7] and a[300:500] not in left[6]
+
+
 def test_fingerprints_follow_each_other(docs, empty):
     rows = fingerprints.fingerprints(docs, 4).collect()
     order = sorted(((r[0] if r[0] is not None else -1, r[1] or "") for r in _rows()), key=lambda r: (-r[0], r[1]))
