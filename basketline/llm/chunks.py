@@ -1,4 +1,4 @@
-"""Repeated passages: content-defined chunks cut by a gear rolling hash and told apart by digest."""
+"""Repeated passages: content-defined chunks cut by a gear rolling hash, and their exact ends by windows of text."""
 
 from __future__ import annotations
 
@@ -6,106 +6,263 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..storage import materialize
-from .text import blocks, mix
+from .text import blocks, mix, powers
 
 WINDOW = 32
-SHORTEST, LONGEST = 32, 256
-CUT_BITS = 5
 MIN_CHARS = 160
+SLACK = 16
 
-_GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(0, np.uint64)] * 2
+_NO_ID = 2 ** 63 - 1
 
 
-def cut_points(data: np.ndarray, offsets: np.ndarray) -> Iterator[list[int]]:
-    """Where the chunks of each text end.
+def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spread code points of flat texts, and the offsets in characters."""
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return mix(points.astype(np.uint64) + np.uint64(1)), before[offsets]
 
-    The gear hash of a place depends on the ``WINDOW`` bytes before it alone. A chunk ends where its top ``CUT_BITS``
-    are zero, between two characters, ``SHORTEST`` bytes after the last end at least; or after ``LONGEST`` bytes.
-    So an insertion moves no end beyond the next few.
-    """
-    rolled = _GEAR[data]
-    width = 1
-    while width < WINDOW:
-        rolled[width:] += rolled[:-width] << np.uint32(width)
+
+def _lowest(values: np.ndarray, span: int) -> np.ndarray:
+    """The smallest of each ``span`` values in a row."""
+    n, width = len(values) - span + 1, 1
+    lowest = values
+    while 2 * width <= span:
+        lowest = np.minimum(lowest[:-width], lowest[width:])
+        width *= 2
+    return np.minimum(lowest[:n], lowest[span - width:span - width + n])
+
+
+def _gears(signs: np.ndarray, size: int) -> np.ndarray:
+    """Gear hashes of all grams of ``WINDOW`` signs, or of a shorter power of two that fits into ``size``."""
+    rolled, width = signs, 1
+    while 2 * width <= min(WINDOW, size):
+        rolled = (rolled[:-width] << np.uint64(width)) + rolled[width:]
         width *= 2
-    inner = np.append((data[1:] & 0xC0) == 0x80, False) if len(data) else np.zeros(0, bool)
-    places = np.flatnonzero((rolled >> np.uint32(32 - CUT_BITS) == 0) & ~inner) + 1
-    bounds = np.searchsorted(places, offsets)
-    for text in range(len(offsets) - 1):
-        last, stop = int(offsets[text]), int(offsets[text + 1])
-        ends: list[int] = []
-        for place in [*places[bounds[text]:bounds[text + 1]].tolist(), stop]:
-            while place - last > LONGEST:
-                last += LONGEST
-                while last > 0 and data[last] & 0xC0 == 0x80:
-                    last -= 1
-                ends.append(last)
-            if place - last >= SHORTEST and place < stop:
-                last = place
-                ends.append(last)
-        if stop > last:
-            ends.append(stop)
-        yield ends
-
-
-def chunks(docs: DataFrame) -> DataFrame:
-    """Every chunk of every text: row, doc_id, start and end in characters, and a 128-bit digest (d1, d2)."""
-    names = ["row", "doc_id", "start", "end", "d1", "d2"]
+    return mix(rolled)
+
+
+def _prefixes(signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums from which the polynomial hash of any stretch follows, and the inverse powers that move it to place 0."""
+    if len(_POWERS[0]) < len(signs) + 1:
+        _POWERS[:] = powers(_BASE, 2 * len(signs) + 1), powers(pow(_BASE, -1, 1 << 64), 2 * len(signs) + 1)
+    forth, back = _POWERS
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(signs * forth[:len(signs)], dtype=np.uint64)]), back
+
+
+def _stretches(signs: np.ndarray, size: int) -> np.ndarray:
+    """Polynomial hashes of all stretches of ``size`` signs."""
+    sums, back = _prefixes(signs)
+    return mix((sums[size:] - sums[:len(sums) - size]) * back[:len(sums) - size])
+
+
+def _windows(data: np.ndarray, offsets: np.ndarray, size: int, grams):
+    """Signs, offsets, and of all windows inside a text: place, smallest gram and text."""
+    signs, places = characters(data, offsets)
+    if len(signs) < size:
+        return signs, places, *[np.zeros(0, t) for t in (np.int64, np.uint64, np.int64)]
+    text = np.repeat(np.arange(len(places) - 1), np.diff(places))
+    at = np.flatnonzero(text[:len(text) - size + 1] == text[size - 1:])
+    found = grams(signs)
+    return signs, places, at, _lowest(found, len(found) - (len(signs) - size))[at], text[at]
+
+
+def chunks(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """Every chunk of every text: row, doc_id, key (a hash of the text), start and end in characters, gram, digest.
+
+    A chunk is all the windows of ``min_chars`` characters in a row that have the same smallest gram. Each window is in
+    one chunk, so chunks overlap, and a window that two texts share has the same gram in both.
+    """
+    names = ["row", "doc_id", "key", "start", "end", "gram", "digest"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in blocks(batches):
+            signs, places, at, gram, text = _windows(
+                data, offsets, min_chars, lambda s: _gears(s, min_chars))
+            if not len(at):
+                continue
+            fresh = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])]))
+            start, end = at[fresh], at[np.append(fresh[1:], len(at)) - 1] + min_chars
+            sums, back = _prefixes(signs)
+            digest = mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+            text = text[fresh]
+            take, base = pa.array(text), places[text]
+            yield pa.RecordBatch.from_arrays(
+                [*[part[c].take(take) for c in ("row", "doc_id", "key")], pa.array(start - base, pa.int32()),
+                 pa.array(end - base, pa.int32()), pa.array(gram[fresh].view(np.int64)), pa.array(digest.view(np.int64))],
+                names)
+
+    return _rows(docs).mapInArrow(
+        cut, "row long, doc_id long, key long, start int, end int, gram long, digest long")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
+                       F.xxhash64("text").alias("key"), "text")
+
+
+def _kind_texts(docs: DataFrame, kinds: DataFrame) -> DataFrame:
+    """The text of each kind of chunk, cut out of the row that stands for it."""
+    names = ["kind", "low", "high", "first", "n", "text"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, found in zip(batch["text"], batch["kinds"]):
+                whole = text.as_py()
+                *columns, start, end = found.values.flatten()
+                texts = [whole[a:b] for a, b in zip(start.to_pylist(), end.to_pylist())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names)
+
+    rows = kinds.groupBy("rep.key", "rep.id").agg(F.collect_list(F.struct(*names[:-1], "rep.start", "rep.end")).alias("kinds"))
+    texts = _rows(docs).select("key", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "text")
+    found = texts.join(rows, ["key", "id"]).select("text", "kinds").mapInArrow(
+        cut, "kind long, low long, high long, first long, n long, text string")
+    return found.dropDuplicates(["kind"])  # rows that repeat an id and a text
+
+
+def _common_windows(texts: DataFrame, min_chars: int) -> DataFrame:
+    """The windows of kinds of chunks that two rows have at least, joined where rows and first id agree: kind, parts.
+
+    A window that two rows have shares the smallest of its grams that are ``SLACK`` characters shorter too, so
+    only windows where this one is shared are compared.
+    """
+    def values(data, offsets):
+        return _windows(data, offsets, min_chars, lambda s: _stretches(s, max(1, min_chars - SLACK)))
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks(batches):
-            raw = data.tobytes()
-            ends = list(cut_points(data, offsets))
-            sizes = np.array([len(e) for e in ends])
-            stop = np.fromiter((e for own in ends for e in own), np.int64, int(sizes.sum()))
-            text = np.repeat(np.arange(len(ends)), sizes)
-            start = np.concatenate([[0], stop[:-1]])[:len(stop)]
-            chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            base = chars[offsets[:-1]][text]
-            digests = np.frombuffer(
-                b"".join([xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(start.tolist(), stop.tolist())]),
-                "<i8").reshape(-1, 2)
-            take = pa.array(text)
+            _, _, _, gram, text = values(data, offsets)
+            fresh = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])]))
+            take = pa.array(text[fresh])
             yield pa.RecordBatch.from_arrays(
-                [part["row"].take(take), part["doc_id"].take(take), pa.array(chars[start] - base, pa.int32()),
-                 pa.array(chars[stop] - base, pa.int32()), pa.array(digests[:, 0]), pa.array(digests[:, 1])], names)
+                [*[part[c].take(take) for c in ("kind", "low", "high")], pa.array(gram[fresh].view(np.int64))],
+                ["kind", "low", "high", "gram"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(cut, "row long, doc_id long, start int, end int, d1 long, d2 long")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = ["kind", "low", "high", "first", "n"]
+        for part, data, offsets in blocks(batches):
+            signs, places, at, gram, text = values(data, offsets)
+            bounds = np.searchsorted(text, np.arange(len(places)))
+            chosen = np.concatenate([
+                np.isin(gram[low:high], wanted.values.to_numpy().view(np.uint64))
+                for low, high, wanted in zip(bounds[:-1], bounds[1:], part["grams"])])
+            at, gram, text = at[chosen], gram[chosen], text[chosen]
+            digest, take = _stretches(signs, min_chars)[at], pa.array(text)
+            yield pa.RecordBatch.from_arrays(
+                [*[part[c].take(take) for c in given], pa.array(at - places[text], pa.int32()),
+                 pa.array(gram.view(np.int64)), pa.array(digest.view(np.int64))], [*given, "start", "gram", "digest"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for found in batch["parts"]:
+                start, first, n = (c.to_numpy() for c in found.values.flatten())
+                order = np.argsort(start)
+                start, first, n = start[order], first[order], n[order]
+                fresh = np.flatnonzero(np.concatenate(
+                    [[True], (np.diff(start) > 1) | (np.diff(first) != 0) | (np.diff(n) != 0)]))
+                stop = start[np.append(fresh[1:], len(start)) - 1] + min_chars
+                parts.append([dict(zip(("a", "b", "first", "n"), x)) for x in zip(
+                    start[fresh].tolist(), stop.tolist(), first[fresh].tolist(), n[fresh].tolist())])
+            yield pa.RecordBatch.from_arrays([batch["kind"], pa.array(parts, pa.list_(pa.struct(
+                [("a", pa.int32()), ("b", pa.int32()), ("first", pa.int64()), ("n", pa.int64())])))], ["kind", "parts"])
+
+    held = texts.select("kind", "low", "high", "text").mapInArrow(grams, "kind long, low long, high long, gram long")
+    shared = held.groupBy("gram").agg(F.min("low").alias("_low"), F.max("high").alias("_high")).where(
+        "_low < _high").select("gram")
+    wanted = held.select("kind", "gram").distinct().join(shared, "gram").groupBy("kind").agg(
+        F.collect_list("gram").alias("grams"))
+    single = materialize(texts.join(wanted, "kind").select("kind", "low", "high", "first", "n", "text", "grams").mapInArrow(
+        cut, "kind long, low long, high long, first long, n long, start int, gram long, digest long"), "windows")
+    common = single.groupBy("gram", "digest").agg(
+        F.min("low").alias("_low"), F.max("high").alias("_high"), F.min("first").alias("_first"),
+        F.sum("n").alias("_n")).where("_low < _high")
+    return single.join(common, ["gram", "digest"]).groupBy("kind").agg(
+        F.collect_list(F.struct("start", "_first", "_n")).alias("parts")).mapInArrow(
+        join, "kind long, parts array<struct<a:int,b:int,first:long,n:long>>")
+
+
+def _spans(start: np.ndarray, end: np.ndarray, first: np.ndarray, rows: np.ndarray) -> list[tuple[int, ...]]:
+    """Start, end, pieces that start there, most rows and smallest first id of the stretches that the pieces cover."""
+    order = np.lexsort((start, first))
+    start, end, first, rows = start[order], end[order], first[order], rows[order]
+    fresh = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (start[1:] > end[:-1])]))
+    low, high = start[fresh], np.maximum.reduceat(end, fresh)
+    most, of = np.maximum.reduceat(rows, fresh), first[fresh]
+    places = np.unique(np.concatenate([low, high]))
+    least, n = np.full(len(places), -1, np.int64), np.zeros(len(places), np.int64)
+    covered = np.zeros(len(places), bool)
+    a, b = np.searchsorted(places, low), np.searchsorted(places, high)
+    for i in range(len(low) - 1, -1, -1):  # the smallest id is written last
+        least[a[i]:b[i]], covered[a[i]:b[i]] = of[i], True
+        n[a[i]:b[i]] = np.maximum(n[a[i]:b[i]], most[i])
+    edge = np.concatenate([[True], (least[1:] != least[:-1]) | (covered[1:] != covered[:-1])])
+    edges = np.flatnonzero(edge)
+    starts = np.sort(start)
+    found = []
+    for low, high in zip(edges[:-1], edges[1:]):  # the last place is an end
+        if covered[low]:
+            x, y = int(places[low]), int(places[high])
+            pieces = int(np.searchsorted(starts, y) - np.searchsorted(starts, x))
+            found.append((x, y, pieces, int(n[low:high].max()), int(least[low])))
+    return found
 
 
 def repeated_spans(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Stretches of whole chunks that other rows have too, of ``min_chars`` characters at least.
-
-    A stretch is cut where the first document of its chunks changes, so that each part has one; its length
-    counts as a whole. Columns doc_id, start, end (characters, end exclusive), n_chunks, rows (the most rows that any
-    of its chunks occurs in, counted with repeats inside them), first_doc_id (the smallest id with each of its chunks)
-    and first (whether that is this document, so that this copy is the one to keep).
-    A passage that repeats only inside one row is none of these. NULL and empty texts have no chunk. Repeated rows
-    repeat each other's passages. Positions refer to the rows' own texts, so rows that share an id are not told apart
+    """Every stretch that is covered by windows of ``min_chars`` characters that other rows have too, exact at both ends.
+
+    A stretch is cut where the first document of its windows changes, so that each part has one (a character's is
+    the smallest of the windows around it). Columns doc_id, start, end (characters, end exclusive), n_chunks (the shared
+    chunks, or parts of them, that start in it), rows (the most rows that any of its windows occurs in,
+    counted with repeats inside them), first_doc_id (the smallest id with those windows) and first (whether that is this
+    document, so that this copy is the one to keep).
+    A passage that repeats only inside one row is none of these. Texts shorter than ``min_chars`` have no chunk. Repeated
+    rows repeat each other's passages. Positions refer to the rows' own texts, so rows that share an id are not told apart
     in the result.
+
+    Where all chunks of a gram are equal, so are the rows that have any of its windows, and the chunk stands for
+    them. Of other grams, equal chunks are one kind, and the windows of the kinds are compared.
     """
-    stored = materialize(chunks(docs), "chunks")
-    shared = stored.groupBy("d1", "d2").agg(
-        F.min("row").alias("_low"), F.max("row").alias("_high"), F.min("doc_id").alias("_first"),
-        F.count(F.lit(1)).alias("_n")).where("_low < _high")
-    hits = stored.join(shared, ["d1", "d2"])
-    in_order = W.partitionBy("row").orderBy("start")
-    fresh = F.coalesce(F.lag("end").over(in_order) != F.col("start"), F.lit(True))
-    other = ~F.lag("_first").over(in_order).eqNullSafe(F.col("_first"))
-    parts = hits.withColumns({"_new": fresh.cast("int"), "_other": (fresh | other).cast("int")}).withColumns(
-        {"_run": F.sum("_new").over(in_order), "_part": F.sum("_other").over(in_order)})
-    spans = parts.groupBy("row", "_run", "_part").agg(
-        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"),
-        F.count(F.lit(1)).alias("n_chunks"), F.max("_n").alias("rows"), F.first("_first").alias("first_doc_id"))
-    whole = F.sum(F.col("end") - F.col("start")).over(W.partitionBy("row", "_run"))
-    return spans.withColumn("_whole", whole).where(F.col("_whole") >= min_chars).select(
-        "doc_id", "start", "end", "n_chunks", "rows", "first_doc_id",
-        F.col("doc_id").eqNullSafe(F.col("first_doc_id")).alias("first"))
+    names = ["doc_id", "start", "end", "n_chunks", "rows", "first_doc_id"]
+    stored = materialize(chunks(docs, min_chars), "chunks")
+    first = F.min(F.coalesce("doc_id", F.lit(_NO_ID)))
+    shared = stored.groupBy("gram").agg(
+        F.min("row").alias("_low"), F.max("row").alias("_high"), first.alias("first"),
+        F.count(F.lit(1)).alias("n"), (F.min("digest") == F.max("digest")).alias("equal")).where("_low < _high")
+    hits = materialize(stored.join(shared.drop("_low", "_high"), "gram"), "hits")
+    mixed = hits.where("NOT equal")
+    kinds = materialize(mixed.groupBy("gram", "digest").agg(
+        F.min("row").alias("low"), F.max("row").alias("high"), first.alias("first"), F.count(F.lit(1)).alias("n"),
+        F.min(F.struct("key", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "start", "end")).alias("rep")).withColumn(
+        "kind", F.monotonically_increasing_id()), "kinds")
+    found = _common_windows(materialize(_kind_texts(docs, kinds), "kind_texts"), min_chars)
+    of_kind = kinds.select("gram", "digest", "kind").join(found, "kind").select("gram", "digest", "parts")
+    own = F.struct(F.lit(0).alias("a"), (F.col("end") - F.col("start")).alias("b"), "first", "n")
+    pieces = hits.where("equal").select("doc_id", "row", "start", F.array(own).alias("parts")).union(
+        mixed.join(of_kind, ["gram", "digest"]).select("doc_id", "row", "start", "parts"))
+    texts = pieces.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "parts")).alias("pieces"))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for doc_id, found in zip(batch["doc_id"].to_pylist(), batch["pieces"]):
+                at, parts = found.values.flatten()
+                sizes = np.diff(parts.offsets.to_numpy())
+                low, high, first, n = (c.to_numpy() for c in parts.flatten().flatten())
+                base = np.repeat(at.to_numpy(), sizes)
+                for a, b, chunks_, rows, least in _spans(base + low, base + high, first, n):
+                    out.append((doc_id, a, b, chunks_, rows, None if least == _NO_ID else least))
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * len(types), types)], names)
+
+    spans = texts.select("doc_id", "pieces").mapInArrow(
+        join, "doc_id long, start int, end int, n_chunks long, rows long, first_doc_id long")
+    return spans.select("*", F.col("doc_id").eqNullSafe(F.col("first_doc_id")).alias("first"))
 
 
 def _without(text: Column, spans: Column) -> Column:

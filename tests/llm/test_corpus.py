@@ -180,6 +180,38 @@ def test_each_part_of_a_repeated_passage_stays_in_its_first_document(spark, docs
     assert b[300:500] not in left[6] and b[300:500] not in left[7] and a[300:500] not in left[6]
 
 
+def test_short_repeated_passages_are_found_to_the_character(spark, docs):
+    random = np.random.default_rng(5)
+
+    def prose(n):
+        return " ".join("".join(map(chr, random.integers(97, 123, random.integers(3, 6)))) for _ in range(n))
+
+    rows, planted = [], {}
+    for i in range(60):
+        passage = "|" + prose(51) + "é"
+        for j in range(2):
+            before = "<" * j + prose(40 + i) + ("<" if j else ">")
+            rows.append((2 * i + j, before + passage + ("<" if j else ">") + prose(30)))
+            planted[2 * i + j] = (len(before), len(before) + len(passage), 2 * i)
+    table = spark.createDataFrame(rows + rows[:1], "doc_id long, text string").repartition(3)
+    found = Counter((r.doc_id, r.start, r.end, r.first_doc_id) for r in chunks.repeated_spans(table).collect() if r.doc_id)
+    assert found == Counter({(i, *span): 1 for i, span in planted.items() if i})
+    texts = [t for i, t in rows if i]
+    some = [(i, t[:700] if i % 3 else texts[i // 2][20:320] + t[200:900] + texts[i // 3][:400]) for i, t in rows]
+    size, where, text = 160, {}, dict(some)
+    for i, t in some:
+        for k in range(len(t) - size + 1):
+            where.setdefault(t[k:k + size], set()).add(i)
+    expected = {}
+    for i, t in some:
+        for k in range(len(t) - size + 1):
+            if len(own := where[t[k:k + size]]) > 1:
+                for c in range(k, k + size):
+                    expected[i, c] = min(expected.get((i, c), min(own)), min(own))
+    spans = chunks.repeated_spans(spark.createDataFrame(some, "doc_id long, text string").repartition(3)).collect()
+    assert {(r.doc_id, c): r.first_doc_id for r in spans for c in range(r.start, r.end)} == expected
+
+
 def test_fingerprints_follow_each_other(docs, empty):
     rows = fingerprints.fingerprints(docs, 4).collect()
     order = sorted(((r[0] if r[0] is not None else -1, r[1] or "") for r in _rows()), key=lambda r: (-r[0], r[1]))
