@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from .text import mix, powers
 
 K, S = 16, 6
-ANCHORS = 64
+OUT_CHARS = 1 << 22
 
 _BASE = powers(0x9E3779B97F4A7C15, K)
 
@@ -49,39 +50,80 @@ def closed_syncmers(data: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarra
     return places, mix(total)
 
 
+_ANCHOR = np.dtype([("gap", "<u2"), ("hash", "<u8")])
+
+
 class Fingerprint:
-    """The ``ANCHORS`` smallest distinct syncmer hashes with their first places, and how many there are in all."""
+    """All closed syncmers of a text, in order: their places and hashes."""
 
-    def __init__(self, text: str, anchors: int = ANCHORS):
+    def __init__(self, text: str):
         data = np.frombuffer(text.encode(), np.uint8)
-        places, hashes = closed_syncmers(data)
-        if not len(places) and len(data):  # a text shorter than a piece, or without one, is its own anchor
+        self.places, self.hashes = closed_syncmers(data)
+        if not len(self.places) and len(data):  # a text shorter than a piece is its own anchor
             whole = int.from_bytes(hashlib.blake2b(data.tobytes(), digest_size=8).digest(), "little")
-            places, hashes = np.zeros(1, np.int64), np.array([whole], np.uint64)
-        kept, first = np.unique(hashes, return_index=True)
-        self.count = len(kept)
-        self.places = {int(h): int(p) for h, p in zip(kept[:anchors], places[first[:anchors]])}
+            self.places, self.hashes = np.zeros(1, np.int64), np.array([whole], np.uint64)
+        self.count = len(self.places)
 
     def __str__(self) -> str:
-        rows = sorted((p, h) for h, p in self.places.items())
-        return f"{self.count};" + ",".join(f"{p:x}.{h:016x}" for p, h in rows)
-
-
-def likeness(a: Fingerprint, b: Fingerprint, anchors: int = ANCHORS) -> float:
-    """The share of the larger text's anchors that both have in the same order, estimated from the smallest hashes.
+        """The number of anchors, and in base 64 each one's distance from the last one (K - S bytes at most) and hash."""
+        rows = np.empty(self.count, _ANCHOR)
+        rows["gap"], rows["hash"] = np.diff(self.places, prepend=0), self.hashes
+        return f"{self.count};{base64.b64encode(rows.tobytes()).decode()}"
+
+
+def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many anchors two sequences have in common at both ends, and what is between them."""
+    n = min(len(a), len(b))
+    other = np.flatnonzero(a[:n] != b[:n])
+    head = int(other[0]) if len(other) else n
+    a, b, n = a[head:], b[head:], n - head
+    other = np.flatnonzero(a[::-1][:n] != b[::-1][:n])
+    tail = int(other[0]) if len(other) else n
+    return head + tail, a[:len(a) - tail], b[:len(b) - tail]
+
+
+def common_in_order(a: np.ndarray, b: np.ndarray) -> int:
+    """The length of the longest sequence that both have in the same order."""
+    ends, a, b = _trimmed(a, b)
+    a, b = a[np.isin(a, b)], b[np.isin(b, a)]
+    more, a, b = _trimmed(a, b)
+    found = ends + more
+    if not len(a) or not len(b):
+        return found
+    if len(np.unique(a)) == len(a) and len(np.unique(b)) == len(b):
+        place = dict(zip(a.tolist(), range(len(a))))
+        ends_: list[int] = []  # of the longest rising run of places
+        for at in [place[h] for h in b.tolist() if h in place]:
+            i = bisect_left(ends_, at)
+            ends_[i:i + 1] = [at]
+        return found + len(ends_)
+    # A bit for each anchor of a; those that are zero after all of b count the common ones (Hyyrö's recurrence).
+    if len(a) < len(b):
+        a, b = b, a
+    masks: dict[int, int] = {}
+    order = np.argsort(a, kind="stable")
+    bounds = np.flatnonzero(np.concatenate([[True], np.diff(a[order]) != 0, [True]]))
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        bits = np.zeros(len(a), np.uint8)
+        bits[order[low:high]] = 1
+        masks[int(a[order[low]])] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    full = (1 << len(a)) - 1
+    row = full
+    for h in b.tolist():
+        if mask := masks.get(h):
+            hit = row & mask
+            row = ((row + hit) | (row - hit)) & full
+    return found + len(a) - row.bit_count()
+
+
+def likeness(a: Fingerprint, b: Fingerprint) -> float:
+    """The share of the larger text's anchors that both have in the same order, all of them matched.
 
     1 for equal fingerprints (two empty ones too), 0 where nothing is shared.
     """
     if not a.count or not b.count:
         return float(a.count == b.count)
-    smallest = sorted(a.places.keys() | b.places.keys())[:anchors]
-    both = sorted((a.places[h], b.places[h]) for h in smallest if h in a.places and h in b.places)
-    ends: list[int] = []  # of the longest rising run of places
-    for _, place in both:
-        at = bisect_left(ends, place)
-        ends[at:at + 1] = [place]
-    jaccard = len(ends) / len(smallest)
-    return min(1.0, jaccard * (a.count + b.count) / (1 + jaccard) / max(a.count, b.count))
+    return common_in_order(a.hashes, b.hashes) / max(a.count, b.count)
 
 
 def edited(text: str, following: str) -> str:
@@ -135,6 +177,7 @@ def fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFrame:
                     yield from zip(*[c.to_pylist() for c in batch.slice(low, 64).columns])
 
         out: list[tuple] = []
+        size = 0
         held = None  # the document whose next one is still to come: bucket, id, text, fingerprint
         for doc_id, text, to, after in stream():
             own = Fingerprint(text)
@@ -143,12 +186,13 @@ def fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFrame:
                 other = Fingerprint(changed)
                 out.append((held[1], len(held[2]), hashlib.sha256(changed.encode()).hexdigest(), str(held[3]), str(other),
                             likeness(held[3], other), likeness(held[3], own)))
+                size += len(out[-1][3]) + len(out[-1][4])
                 held = None
             if not after:
                 held = (to, doc_id, text, own)
-            if len(out) >= 256:
+            if len(out) >= 256 or size >= OUT_CHARS:
                 yield _batch(out)
-                out = []
+                out, size = [], 0
         yield _batch(out)
 
     # A handed document comes after its bucket's own, except where the one bucket hands to itself.

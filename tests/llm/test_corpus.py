@@ -225,6 +225,23 @@ def test_fingerprints_follow_each_other(docs, empty):
     assert fingerprints.fingerprints(empty).count() == 0
 
 
+def test_fingerprints_match_all_anchors_of_long_texts_by_place():
+    random = np.random.default_rng(8)
+    one, two, passage = ("".join(map(chr, random.integers(97, 123, n))) for n in (20_000, 20_000, 400))
+    a, b = fingerprints.Fingerprint(one + passage), fingerprints.Fingerprint(passage + two)
+    assert a.count == len(fingerprints.closed_syncmers(np.frombuffer((one + passage).encode(), np.uint8))[0]) > 3000
+    assert 0.01 < fingerprints.likeness(a, b) < 0.03
+    assert 0.99 < fingerprints.likeness(a, fingerprints.Fingerprint(one[:9000] + " changed " + one[9009:] + passage)) < 1
+    for _ in range(200):
+        x, y = (random.integers(0, random.choice([3, 500]), random.integers(1, 90)).astype(np.uint64) for _ in "xy")
+        best = [0] * (len(y) + 1)
+        for u in x:
+            last = 0
+            for j, v in enumerate(y):
+                last, best[j + 1] = best[j + 1], last + 1 if u == v else max(best[j + 1], best[j])
+        assert fingerprints.common_in_order(x, y) == best[-1]
+
+
 def test_quality_learns_and_scores_everything(spark, docs, empty):
     labels = spark.createDataFrame([(6, 1), (8, 1), (9, 1), (3, None), (17, 0), (2, 0), (None, 1), (99, 1)], "doc_id long, quality int")
     model = quality.train(docs, labels)
