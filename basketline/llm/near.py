@@ -1,4 +1,4 @@
-"""Near duplicates by ProbMinHash over weighted word shingles, banding and exact verification."""
+"""Near duplicates by ProbMinHash over sets of word shingles, banding and exact verification."""
 
 from __future__ import annotations
 
@@ -18,12 +18,9 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 #: Arrivals drawn at once: about as many as fill all registers.
 _DRAWS = int(2 * REGISTERS * np.log(REGISTERS))
-#: Pairs of 4-bit registers that differ in more bits than a similar pair does but once in ten thousand times.
-MOST_BITS = 88
 
 _BAND = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 _ROW = mix(np.arange(101, 101 + ROWS, dtype=np.uint64)) | np.uint64(1)
-_NIBBLE = np.uint64(4) * np.arange(16, dtype=np.uint64)
 
 
 def prob_min_hash(elements: np.ndarray, weights: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
@@ -56,11 +53,11 @@ def prob_min_hash(elements: np.ndarray, weights: np.ndarray, registers: int = RE
     return winner
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE_WORDS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Each text's distinct shingles and how often they occur."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+    """Each text's distinct shingles."""
     _, _, hashes, of_text = words(data, offsets, LETTERS)
     for low, high in zip(of_text[:-1], of_text[1:]):
-        yield np.unique(shingles(hashes[low:high], n), return_counts=True)
+        yield np.unique(shingles(hashes[low:high], n))
 
 
 def _digest(text: Column) -> Column:
@@ -68,37 +65,34 @@ def _digest(text: Column) -> Column:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per text (doc_id, digest, text): band keys and the packed low bits of its registers."""
+    """Per text (doc_id, digest, text): band keys.
+
+    All shingles weigh the same, so that two texts agree in a register with the Jaccard similarity that is verified.
+    """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks(batches, "lowered"):
-            keys, bits = [], []
-            for found, counts in shingle_sets(data, offsets):
+            keys = []
+            for found in shingle_sets(data, offsets):
                 if not len(found):
                     keys.append(np.zeros(0, np.int64))
-                    bits.append(np.zeros(8, np.int64))
                     continue
-                winner = prob_min_hash(found, 1.0 + np.log(counts))
+                winner = prob_min_hash(found, np.ones(len(found)))
                 with np.errstate(over="ignore"):
                     band = (winner.reshape(BANDS, ROWS) * _ROW).sum(1, dtype=np.uint64) + _BAND
-                    low = np.zeros(128, np.uint64)
-                    low[:REGISTERS] = (winner >> np.uint64(7)) & np.uint64(15)
-                    packed = (low.reshape(8, 16) << _NIBBLE).sum(1, dtype=np.uint64)
                 keys.append(mix(band).view(np.int64))
-                bits.append(packed.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], part["digest"], pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(bits, pa.list_(pa.int64()))], ["doc_id", "digest", "keys", "bits"])
+                [part["doc_id"], part["digest"], pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "digest", "keys"])
 
     rows = docs.where("text IS NOT NULL").select(
         F.col("doc_id").cast("long"), _digest(F.col("text")).alias("digest"), F.lower("text").alias("lowered"))
-    return rows.mapInArrow(sign, "doc_id long, digest binary, keys array<long>, bits array<long>")
+    return rows.mapInArrow(sign, "doc_id long, digest binary, keys array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the wanted nodes (node, digest, doc_id)."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks(batches, "lowered"):
-            found = [s.view(np.int64) for s, _ in shingle_sets(data, offsets)]
+            found = [s.view(np.int64) for s in shingle_sets(data, offsets)]
             yield pa.RecordBatch.from_arrays(
                 [part["node"], pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
@@ -128,19 +122,14 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return materialize(found, "verified")
 
 
-def _differing_bits() -> Column:
-    return sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(1, 8)),
-               F.bit_count(F.col("x.bits")[0].bitwiseXOR(F.col("y.bits")[0])))
-
-
 def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Links (a, b, similarity) that connect all similar texts, and the components they make.
 
     In each bucket of a band all texts are compared with its hub, the one with the most company in all its
     buckets. Texts that this connects need no further comparison. Of the others in a bucket, two can be similar only if
     their shingles differ little, of which their differences from the hub tell enough: what one of them
-    added and the other did not is a difference, and so is the surplus of shingles lost. Only pairs within that bound,
-    and with registers that agree as those of similar texts do, are compared.
+    added and the other did not is a difference, and so is the surplus of shingles lost. Only pairs within that bound
+    are compared.
     """
     buckets = nodes.select("node", F.explode("keys").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -161,13 +150,13 @@ def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
         "_low < _high").select("key")
     rest = placed.where("node <> hub").join(apart, "key").join(
         compared.select("node", "hub", "size", "added", "lost"), ["node", "hub"])
-    rest = materialize(rest.join(nodes.select("node", "bits"), "node"), "apart")
+    rest = materialize(rest, "apart")
     x, y = rest.alias("x"), rest.alias("y")
     allowed = (F.col("x.size") + F.col("y.size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
     least = F.size("x.added") + F.size("y.added") + F.abs(F.col("x.lost") - F.col("y.lost"))
     common = F.size(F.array_intersect("x.added", "y.added"))
     cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-                   & (_differing_bits() <= MOST_BITS) & ((least <= allowed) | (least - 2 * common <= allowed)))
+                   & ((least <= allowed) | (least - 2 * common <= allowed)))
     cross = cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     second = _verified(docs, nodes, materialize(cross, "pairs"))
     links = close.select("a", "b", "similarity").union(
@@ -183,12 +172,12 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     more are linked, and classes are what the links connect. ``class_id`` is the smallest doc_id of a class (NULL if
     it has none), ``class_size`` its rows, ``representative`` whether a row has that id and its text.
     A NULL text is a class of its own; texts without a word are like equal texts only. Rows that repeat an id
-    and a text are equal texts. Shingles weigh 1 + ln(count) in the signatures.
+    and a text are equal texts.
     """
     signed = materialize(signatures(docs), "signatures")
     nodes = signed.groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"),
-        F.first("keys").alias("keys"), F.first("bits").alias("bits"))
+        F.first("keys").alias("keys"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     _, joined = near_links(docs, nodes, similarity)
     named = nodes.select("node", "digest", "doc_id", "rows").join(joined, "node", "left").withColumn(

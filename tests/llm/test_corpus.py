@@ -72,6 +72,18 @@ def test_near_duplicates_are_those_of_all_pairs(docs, empty):
     assert near.classes(empty).count() == 0
 
 
+def test_near_duplicates_with_repeated_own_lines(spark, docs):
+    random = np.random.default_rng(6)
+    rows = []
+    for i in range(60):
+        shared, line = (" ".join(f"v{x}" for x in random.integers(0, 10 ** 9, n)) for n in (64, 10))
+        rows += [(2 * i, shared), (2 * i + 1, " ".join([shared, *[line] * 30]))]
+    assert all(len(_shingles(a) & _shingles(b)) / len(_shingles(a) | _shingles(b)) >= 0.8
+               for (_, a), (_, b) in zip(rows[::2], rows[1::2]))
+    found = near.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.class_id) for r in found} == {(i, i - i % 2) for i, _ in rows}
+
+
 def test_packing_matches_the_tokenizer_and_fills_sequences(docs, empty):
     from tokenizers import Tokenizer
 
