@@ -13,7 +13,6 @@ from .text import blocks, mix
 BINS = 1 << 15
 SMOOTHING = 0.1
 STEPS = 8
-MOST_LANGUAGES = 4
 PENALTY = 4.0
 UNKNOWN = "und"
 
@@ -86,8 +85,9 @@ class Model:
                  steps: int = STEPS) -> np.ndarray:
         """Proportions of the languages in each text (a row each; zeros without a gram).
 
-        Languages join a text's set in the order of their proportions in a first fit of all of them. A further
-        one stays while it raises the log-likelihood by more than ``penalty * log(grams)``.
+        Languages are tried in the order of their proportions in a first fit of all of them. One joins a text's
+        set if it raises the log-likelihood by more than ``penalty * log(grams)``; after one that does not, the next
+        is tried. The others are tried again as long as one joins.
         """
         texts, n_langs = len(offsets) - 1, len(self.languages)
         shares = np.zeros((texts, n_langs))
@@ -118,21 +118,23 @@ class Model:
         single = np.add.reduceat(counts[:, None] * np.log(p), first)
         best_one = single.argmax(1)
         best, chosen = single.max(1), np.eye(n_langs)[best_one]
-        open_, allowed = everyone, np.eye(n_langs)[best_one].astype(bool)
-        for size in range(2, min(n_langs, MOST_LANGUAGES) + 1):
-            fresh = ~np.take_along_axis(allowed, order, 1)
-            nxt = np.take_along_axis(order, fresh.argmax(1)[:, None], 1)[:, 0]
-            wider = allowed.copy()
-            wider[np.arange(len(present)), nxt] = True
-            share, like = fit(wider.astype(float), open_, steps)
-            rows = np.flatnonzero(open_)
-            better = like > best[rows] + penalty * np.log(total[rows] + 1)
-            chosen[rows[better]], best[rows[better]] = share[better], like[better]
-            allowed[rows[better]] = wider[rows[better]]
-            open_ = np.zeros(len(present), bool)
-            open_[rows[better]] = True
-            if not open_.any():
-                break
+        allowed, texts_ = np.eye(n_langs)[best_one].astype(bool), np.arange(len(present))
+        active = everyone
+        while active.any():
+            joined = np.zeros(len(present), bool)
+            for nxt in order.T:
+                open_ = active & ~allowed[texts_, nxt]
+                if not open_.any():
+                    continue
+                wider = allowed.copy()
+                wider[texts_, nxt] = True
+                share, like = fit(wider.astype(float), open_, steps)
+                rows = np.flatnonzero(open_)
+                better = like > best[rows] + penalty * np.log(total[rows] + 1)
+                chosen[rows[better]], best[rows[better]] = share[better], like[better]
+                allowed[rows[better]] = wider[rows[better]]
+                joined[rows[better]] = True
+            active = joined
         shares[present] = chosen
         return shares
 

@@ -145,6 +145,30 @@ def test_languages(docs, empty):
     assert language.identify(docs, language.train(empty)).where("lang_pred <> 'und'").count() == 0
 
 
+def _mixture(parts, vocabularies, seed=4):
+    random = np.random.default_rng(seed)
+    counts = []
+    for lang, vocabulary in vocabularies.items():
+        data = " ".join(random.choice(vocabulary, 20_000)).encode()
+        ids, n = np.unique(language.grams(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0], return_counts=True)
+        counts += [(lang, int(i), int(k)) for i, k in zip(ids, n)]
+    model = language.Model(counts)
+    text = " ".join(" ".join(random.choice(vocabularies[lang], n)) for lang, n in parts.items()).encode()
+    shares = model.mixtures(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+    return {lang: share for lang, share in zip(model.languages, shares) if share}
+
+
+def test_languages_beyond_a_relative_and_beyond_four():
+    random = np.random.default_rng(9)
+    words = {x: ["".join(map(chr, random.choice(random.permutation(26)[:14] + 97, random.integers(2, 9)))) for _ in range(300)]
+             for x in ("pt", "en", "fi", "hu", "tr", "vi")}
+    relatives = {"pt": words["pt"], "gl": words["pt"][:290] + words["fi"][:10], "en": words["en"]}
+    found = _mixture({"pt": 160, "en": 40}, relatives)
+    assert found["en"] > 0.1 and max(found, key=found.get) == "pt"
+    five = dict.fromkeys(["pt", "en", "fi", "hu", "tr"], 200)
+    assert _mixture(five, words).keys() == five.keys()
+
+
 def _digest(spans):
     return hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans)).encode()).hexdigest()
 
