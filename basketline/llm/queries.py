@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, fingerprints, language, mixing, near, oracle, packing, private, quality, search, secrets
+from . import chunks, fingerprints, language, lengths, mixing, near, oracle, packing, private, quality, search, secrets
 from .ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,7 @@ def queries() -> dict[str, Query]:
         "op8_syncmer_fingerprints": fingerprints.query,
         "op9_attention_quality": quality.query,
         "op10_near_duplicates": near.query,
+        "op13_binary_packing": lengths.query,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
