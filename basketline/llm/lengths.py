@@ -18,6 +18,7 @@ from ..storage import materialize
 from .bytelevel import encoder
 from .text import blocks
 
+BLOCK_BYTES = 4 << 20
 LONGEST = 2048
 END_ID = 1
 
@@ -49,7 +50,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, longest: int = LONGEST, end_id
     def encoded(batches):
         encode = encoder(tokenizer)  # by its path, which is the same on every machine
         task, seen = TaskContext.get().partitionId(), {}
-        for part, data, offsets in blocks(batches):
+        for part, data, offsets in blocks(batches, size=BLOCK_BYTES):
             ids, ends = encode(data, offsets)
             sizes = np.diff(ends) + 1
             whole = np.insert(ids, ends[1:], end_id).astype("<u4")
