@@ -43,3 +43,46 @@ SELECT doc_id, size, source_size, target,
        CAST(least(floor(u + rate * rank) - floor(u + rate * (rank - 1)), ceil(rate)) AS BIGINT) * size AS taken
 FROM rated
 """
+
+#: Every kept term against every group and every pair of groups, in wide integers.
+DIVERGENCE = """
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), found AS (
+  SELECT lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM docs) GROUP BY ALL HAVING count(*) >= 3
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT lang, source, sum(n) AS size FROM counts GROUP BY ALL
+), vocabulary AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 1)::HUGEINT) // (coalesce(s.size, 0) + v.v)::HUGEINT AS p
+  FROM groups g JOIN kept k USING (lang) JOIN vocabulary v USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN sizes s ON s.lang = g.lang AND s.source = g.source
+), whole AS (
+  SELECT lang, term, 1 + (1000000000 * (sum(n) + 1)::HUGEINT) // (sum(sum(n)) OVER (PARTITION BY lang) + any_value(v))::HUGEINT AS q
+  FROM counts JOIN vocabulary USING (lang) GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), results AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM results QUALIFY part = 'pair' OR rank <= 200
+"""
