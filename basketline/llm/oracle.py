@@ -86,3 +86,42 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
        CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
 FROM results QUALIFY part = 'pair' OR rank <= 200
 """
+
+#: Every phrase as text, counted, cut and ranked.
+COLLOCATIONS = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w)) AS n FROM worded GROUP BY lang
+), places AS (
+  SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM worded, (VALUES (1), (2), (3), (4)) sizes(size)
+), phrases AS (
+  SELECT lang, size, w[i:i + size - 1] AS words, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 30
+), candidates AS (
+  SELECT * FROM phrases WHERE size >= 2
+), cuts AS (
+  SELECT c.lang, c.words, c.f, k, l.f AS l, r.f AS r, (2000000 * c.f::HUGEINT) // (l.f + r.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN phrases l ON l.lang = c.lang AND l.words = c.words[1:k]
+  JOIN phrases r ON r.lang = c.lang AND r.words = c.words[k + 1:]
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), parts AS (
+  SELECT lang, f, words[i:i + part - 1] AS inner_words
+  FROM (SELECT *, unnest(range(1, size - part + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS part FROM candidates))
+), held AS (
+  SELECT lang, inner_words, max(f) AS longer FROM parts GROUP BY ALL
+), ranked AS (
+  SELECT lo.lang, array_to_string(lo.words, ' ') AS phrase, lo.f AS a, lo.l, lo.r, t.n, lo.score
+  FROM lowest lo JOIN totals t USING (lang) LEFT JOIN held h ON h.lang = lo.lang AND h.inner_words = lo.words
+  WHERE h.longer IS NULL OR 100 * h.longer < 80 * lo.f
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked QUALIFY rank <= 2000
+"""

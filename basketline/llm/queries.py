@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, divergence, fingerprints, language, lengths, mixing, near, oracle, packing, private, quality, search, secrets
+from . import chunks, collocations, divergence, fingerprints, language, lengths, mixing, near, oracle, packing, private, quality, search, secrets
 from .ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,10 +33,11 @@ def queries() -> dict[str, Query]:
         "op9_attention_quality": quality.query,
         "op10_near_duplicates": near.query,
         "op11_source_divergence": divergence.query,
+        "op12_phrase_collocations": collocations.query,
         "op13_binary_packing": lengths.query,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": oracle.MIXING, "op11_source_divergence": oracle.DIVERGENCE}
+    return {"op3_mix_sources": oracle.MIXING, "op12_phrase_collocations": oracle.COLLOCATIONS, "op11_source_divergence": oracle.DIVERGENCE}
