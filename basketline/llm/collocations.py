@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 from ..storage import materialize
 from .text import blocks, mix
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
 LEAST = 30
 LONGEST = 4
 TOP = 2000
@@ -169,7 +169,8 @@ class QuotientFilter:
 
     The range is the ``range_bits`` first bits of the high half. The next bits are the quotient, as many as there are keys to a
     power of two; a one for each key and a zero after each quotient tell which keys belong to which. Remainders are kept whole, so
-    nothing is lost. A count takes one byte; from 255 on, it stands in a list of its own.
+    nothing is lost: they are packed with the low half into whole bytes. A count of one takes a bit, others a byte more; from 255 on,
+    they stand in a list of their own.
     """
 
     def __init__(self, keys: Keys, range_bits: int):
@@ -194,28 +195,39 @@ class QuotientFilter:
         quotient = (high & Keys._mask(rest)) >> np.uint64(remainder)
         places = np.zeros(n + (1 << quotient_bits), np.uint8)
         places[quotient.astype(np.int64) + np.arange(n)] = 1
-        many = np.flatnonzero(count >= 255)
-        head = np.array([n, quotient_bits, len(many)], "<i8").tobytes()
+        again = count[count > 1]
+        many = again[again >= 255]
+        head = np.array([n, quotient_bits, len(again), len(many)], "<i8").tobytes()
+        rest_of_key = high & Keys._mask(remainder)
+        lower = self.keys.low_bits
+        first, second = low | rest_of_key << np.uint64(lower), rest_of_key >> np.uint64(64 - lower)
         return b"".join([
-            head, np.packbits(places).tobytes(), _planes(high & Keys._mask(remainder), remainder), _planes(low, self.keys.low_bits),
-            np.minimum(count, 255).astype(np.uint8).tobytes(), count[many].astype("<i8").tobytes()])
+            head, np.packbits(places).tobytes(), _planes(first, min(64, remainder + lower)), _planes(second, max(0, remainder + lower - 64)),
+            np.packbits(count > 1).tobytes(), np.minimum(again, 255).astype(np.uint8).tobytes(), many.astype("<i8").tobytes()])
 
     def read(self, which: int, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        n, quotient_bits, many = np.frombuffer(raw, "<i8", 3).tolist()
-        raw = memoryview(raw)[24:]
+        n, quotient_bits, again, many = np.frombuffer(raw, "<i8", 4).tolist()
+        raw = memoryview(raw)[32:]
+
+        def bits(size: int) -> np.ndarray:
+            nonlocal raw
+            found = np.unpackbits(np.frombuffer(raw, np.uint8, -(-size // 8)), count=size)
+            raw = raw[-(-size // 8):]
+            return found
+
         rest = self.keys.high_bits - self.range_bits
-        remainder = rest - quotient_bits
-        size = n + (1 << quotient_bits)
-        places = np.unpackbits(np.frombuffer(raw, np.uint8, -(-size // 8)), count=size)
-        raw = raw[-(-size // 8):]
-        quotient = (np.flatnonzero(places) - np.arange(n)).astype(np.uint64)
-        high, used = _from_planes(raw, n, remainder)
-        raw = raw[used:]
-        low, used = _from_planes(raw, n, self.keys.low_bits)
-        raw = raw[used:]
-        count = np.frombuffer(raw, np.uint8, n).astype(np.int64)
-        count[count == 255] = np.frombuffer(raw[n:], "<i8", many)
-        return high | quotient << np.uint64(remainder) | np.uint64(which << rest), low, count
+        remainder, lower = rest - quotient_bits, self.keys.low_bits
+        quotient = (np.flatnonzero(bits(n + (1 << quotient_bits))) - np.arange(n)).astype(np.uint64)
+        first, used = _from_planes(raw, n, min(64, remainder + lower))
+        second, more = _from_planes(raw[used:], n, max(0, remainder + lower - 64))
+        raw = raw[used + more:]
+        count = np.ones(n, np.int64)
+        repeated = bits(n).astype(bool)
+        larger = np.frombuffer(raw, np.uint8, again).astype(np.int64)
+        larger[larger == 255] = np.frombuffer(raw[again:], "<i8", many)
+        count[repeated] = larger
+        high = (first >> np.uint64(lower) | second << np.uint64(64 - lower)) & Keys._mask(remainder)
+        return high | quotient << np.uint64(remainder) | np.uint64(which << rest), first & Keys._mask(lower), count
 
 
 FILTERS = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("range", T.LongType()), T.StructField("shard", T.LongType()),
@@ -260,20 +272,23 @@ def phrase_filters(stored: DataFrame, numbers: DataFrame, bits: int, of_range: i
         numbers.select(F.col("block").alias("of_block"), "place", "number").groupBy("of_block")).applyInArrow(counted, FILTERS)
 
 
-def merged_filters(filters: DataFrame, bits: int, tokens: int, shards_: int, fan_in: int | None = None) -> tuple[DataFrame, int]:
+def merged_filters(filters: DataFrame, bits: int, tokens: int, shards_: int, least: int, fan_in: int | None = None) -> tuple[DataFrame, int]:
     """One filter a length and range, and the bits of its range, from filters of ``shards_`` shards in ranges as
-    :func:`range_bits` has them.
+    :func:`range_bits` has them. Keys that do not reach ``least`` in the end are not stored.
 
     In each round the filters of about ``fan_in`` shards and one range are merged, and cut into the finer ranges of the next round:
     a task never holds more than about ``FILTER_KEYS`` keys a group, however many shards there are.
     """
 
-    def round_(of_range: int, finer: int):
+    def round_(of_range: int, finer: int, last: bool):
         def merged(table: pa.Table) -> pa.Table:
             keys, which = Keys(table["n"][0].as_py(), bits), table["range"][0].as_py()
             kept = QuotientFilter(keys, of_range)
             parts = [kept.read(which, raw.as_py()) for raw in table["filter"]]
             summed = keys.summed(*(np.concatenate(p) for p in zip(*parts)))
+            if last:
+                often = summed[2] >= least
+                summed = tuple(x[often] for x in summed)
             return _filter_table(QuotientFilter(keys, finer).rows(*summed, table["shard"][0].as_py()))
 
         return merged
@@ -283,15 +298,15 @@ def merged_filters(filters: DataFrame, bits: int, tokens: int, shards_: int, fan
         groups = -(-shards_ // fan_in)
         of_range, finer = range_bits(tokens, shards_, fan_in), range_bits(tokens, groups, fan_in)
         group = F.pmod(F.xxhash64("shard"), F.lit(groups))
-        merging = round_(of_range, finer if groups > 1 else of_range)
+        merging = round_(of_range, finer if groups > 1 else of_range, groups == 1)
         filters = materialize(filters.withColumn("shard", group).groupBy("n", "range", "shard").applyInArrow(merging, FILTERS), "phrase_filters")
         if groups == 1:
             return filters, of_range
         shards_ = groups
 
 
-def frequent_phrases(filters: DataFrame, bits: int, of_range: int, least: int = LEAST) -> DataFrame:
-    """n, w1 to w4 (0 where shorter) and a: the phrases that occur ``least`` times or more."""
+def phrases(filters: DataFrame, bits: int, of_range: int) -> DataFrame:
+    """n, w1 to w4 (0 where shorter) and a: the phrases in the filters."""
     schema = T.StructType([T.StructField("n", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in [*_SLOTS, "a"]]])
 
     def rows(batches):
@@ -299,11 +314,10 @@ def frequent_phrases(filters: DataFrame, bits: int, of_range: int, least: int =
             for n, which, raw in zip(*(batch[c].to_pylist() for c in ("n", "range", "filter"))):
                 kept = QuotientFilter(Keys(n, bits), of_range)
                 high, low, count = kept.read(which, raw)
-                often = count >= least
-                columns = kept.keys.unpack(high[often], low[often])
-                columns += [np.zeros(int(often.sum()), np.int64)] * (LONGEST - n)
+                columns = kept.keys.unpack(high, low)
+                columns += [np.zeros(len(count), np.int64)] * (LONGEST - n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(columns[0]), n), pa.int32()), *map(pa.array, columns), pa.array(count[often])], schema.fieldNames())
+                    [pa.array(np.full(len(columns[0]), n), pa.int32()), *map(pa.array, columns), pa.array(count)], schema.fieldNames())
 
     return filters.select("n", "range", "filter").mapInArrow(rows, schema)
 
@@ -375,8 +389,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     tokens, many = sizes.agg(F.sum("n")).first()[0] or 0, stored.count()
     numbers = words.join(known, ["lang", "word"]).select("block", "place", "number")
     filters = phrase_filters(stored, numbers, bits, range_bits(tokens, max(1, many)))
-    filters, of_range = merged_filters(filters, bits, tokens, max(1, many))
-    grams = materialize(frequent_phrases(filters, bits, of_range, least), "frequent_phrases")
+    filters, of_range = merged_filters(filters, bits, tokens, max(1, many), least)
+    grams = materialize(phrases(filters, bits, of_range), "frequent_phrases")
     found = scored(grams, known)
 
     # the first ones with their ties, before the words are put in
