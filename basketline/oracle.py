@@ -484,7 +484,7 @@ def oracle_sql() -> dict[str, str]:
         ("suspicious_amount", "ods_orders", count("ods_orders", "total_amount > 100000"), 0, 0)))
     q["dq_first_orders"] = dwd(_check(
         "first_orders_vs_users", "dwd_orders",
-        "SELECT abs((SELECT SUM(is_first_order) FROM dwd_orders) - (SELECT COUNT(DISTINCT user_id) FROM dwd_orders))",
+        "SELECT abs((SELECT SUM(is_first_order) FROM dwd_orders WHERE user_id IS NOT NULL) - (SELECT COUNT(DISTINCT user_id) FROM dwd_orders))",
         0, 0))
     dup = ("SELECT COUNT(*) FROM (SELECT l_orderkey, l_partkey FROM lineitem GROUP BY l_orderkey, l_partkey "
            "HAVING COUNT(*) > 1)")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import iso_weekday, month_key, whole_minutes
 from ..functions.rules import valid_order
@@ -61,14 +61,20 @@ def with_order_month(facts: DataFrame, time_column: str) -> DataFrame:
     return facts.withColumn("order_month", month_key(F.to_date(time_column)))
 
 
+def dwd_orders_metrics() -> list[Column]:
+    """Total, valid and first orders, as aggregates."""
+    return [F.count(F.lit(1)).alias("total"), F.sum("is_valid_order").alias("valid"), F.sum("is_first_order").alias("first")]
+
+
+def dwd_items_metrics() -> list[Column]:
+    """Total and valid items, as aggregates."""
+    return [F.count(F.lit(1)).alias("total"), F.sum("is_valid_order").alias("valid")]
+
+
 def dwd_orders_stats(dwd_orders: DataFrame) -> DataFrame:
     """Total, valid and first orders of a finished build."""
-    return dwd_orders.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.sum("is_valid_order").alias("valid"),
-        F.sum("is_first_order").alias("first"),
-    )
+    return dwd_orders.agg(*dwd_orders_metrics())
 
 
 def dwd_items_stats(dwd_order_items: DataFrame) -> DataFrame:
-    return dwd_order_items.agg(F.count(F.lit(1)).alias("total"), F.sum("is_valid_order").alias("valid"))
+    return dwd_order_items.agg(*dwd_items_metrics())

@@ -53,7 +53,16 @@ def build_user_base(
         F.sum(F.when(_valid(), F.col("total_amount") * weight).otherwise(0)).alias("amount"),
         F.sum(F.when(_valid() & F.col("total_amount").isNotNull(), weight).otherwise(0)).alias("priced"),
     )
-    by_user = by_day.groupBy("user_id").agg(
+    if favorite:
+        item_part, extra = _favorites(items), ["favorite_category", "favorite_category_amount"]
+    else:
+        item_part, extra = items.where(_valid()).groupBy("user_id").agg(_quantity()), []
+    return user_base_of(users, user_totals(by_day), item_part, as_of, extra)
+
+
+def user_totals(by_day: DataFrame) -> DataFrame:
+    """Per user, from one row per (user, day): counts, amounts, first and last day, days."""
+    return by_day.groupBy("user_id").agg(
         F.sum("orders").alias("total_orders"),
         F.sum("valid").alias("valid_orders"),
         F.sum("amount").alias("amount"),
@@ -62,10 +71,12 @@ def build_user_base(
         F.max("order_date").alias("last_order_date"),
         F.count("order_date").alias("active_days"),
     )
-    if favorite:
-        item_part, extra = _favorites(items), ["favorite_category", "favorite_category_amount"]
-    else:
-        item_part, extra = items.where(_valid()).groupBy("user_id").agg(_quantity()), []
+
+
+def user_base_of(
+    users: DataFrame, by_user: DataFrame, item_part: DataFrame, as_of: dt.date | str | None, extra: list[str],
+) -> DataFrame:
+    """All users with their totals, quantities and the columns ``extra`` of ``item_part``."""
     zero = F.lit(0)
     first, last = F.col("first_order_date"), F.col("last_order_date")
     return (
@@ -94,9 +105,14 @@ def _favorites(items: DataFrame) -> DataFrame:
 
     Equal spends go to the first category in order, an unknown one before all.
     """
-    spend = items.where(_valid()).groupBy("user_id", "category").agg(F.sum("amount").alias("spend"), _quantity())
+    quantity = F.sum(F.col("quantity").cast("bigint")).alias("quantity")
+    return favorites_of(items.where(_valid()).groupBy("user_id", "category").agg(F.sum("amount").alias("spend"), quantity))
+
+
+def favorites_of(spend: DataFrame) -> DataFrame:
+    """:func:`_favorites` from one row per (user, category)."""
     best = F.min(F.struct(F.col("spend").isNull(), (-F.col("spend")).alias("minus"), F.col("category")))
-    return spend.groupBy("user_id").agg(best.alias("best"), F.sum("total_quantity").alias("total_quantity")).select(
+    return spend.groupBy("user_id").agg(best.alias("best"), F.sum("quantity").alias("total_quantity")).select(
         "user_id",
         "total_quantity",
         F.col("best.category").alias("favorite_category"),
@@ -134,7 +150,11 @@ def build_user_summary(
     grain: str = "order",
 ) -> DataFrame:
     """The per-user summary: base measures, favourite category, RFM."""
-    base = build_user_base(dwd_orders, items, users, as_of, grain, favorite=True)
+    return user_summary_of(build_user_base(dwd_orders, items, users, as_of, grain, favorite=True))
+
+
+def user_summary_of(base: DataFrame) -> DataFrame:
+    """Scores and segments added to the base with favourite categories."""
     return conform(add_rfm(materialize(base, "user_base")), "dws_user_summary")
 
 
@@ -156,7 +176,12 @@ def build_product_summary(items: DataFrame) -> DataFrame:
         F.min(F.to_date("order_time")).alias("first_day"),
         F.max(F.to_date("order_time")).alias("last_day"),
     )
-    base = per_buyer.groupBy(*attributes).agg(
+    return product_summary_of(per_buyer)
+
+
+def product_summary_of(per_buyer: DataFrame) -> DataFrame:
+    """:func:`build_product_summary` from one row per (product, user)."""
+    base = per_buyer.groupBy("product_id", "product_name", "category", "sub_category", "brand").agg(
         F.max("price").alias("price"),
         F.sum("quantity").alias("total_quantity"),
         F.sum("orders").alias("total_orders"),
@@ -186,7 +211,11 @@ def build_date_summary(dwd_orders: DataFrame, user_summary: DataFrame) -> DataFr
         F.max("is_valid_order").alias("active"),
         F.max(F.col("is_valid_order") * F.col("is_first_order")).alias("new"),
     )
-    repurchasing = user_summary.where("is_repurchase = 1").select("user_id", F.lit(1).alias("again"))
+    return date_summary_of(per_user, user_summary.where("is_repurchase = 1").select("user_id", F.lit(1).alias("again")))
+
+
+def date_summary_of(per_user: DataFrame, repurchasing: DataFrame) -> DataFrame:
+    """:func:`build_date_summary` from one row per (day, user), and the users who ordered twice."""
     known = F.col("user_id").isNotNull()
     flag = lambda condition: F.sum(F.when(known & condition, 1).otherwise(0))
     active = F.col("active") == 1

@@ -78,19 +78,24 @@ def require(checks: DataFrame) -> list:
 
 def dq_orders(orders: DataFrame) -> DataFrame:
     """Missing users and amounts, non-positive and suspicious amounts, in one pass."""
+    return _measures(orders, "ods_orders", order_measures())
+
+
+def order_measures() -> dict[str, tuple[Column, int | None, int | None]]:
+    """The aggregates of :func:`dq_orders` with their limits."""
     amount = F.col("total_amount")
-    return _measures(orders, "ods_orders", {
+    return {
         "total": (F.count(F.lit(1)), None, None),
         "null_user": (F.count_if(F.col("user_id").isNull()), 0, 0),
         "null_amount": (F.count_if(amount.isNull()), 0, 0),
         "invalid_amount": (F.count_if(amount <= 0), 0, 0),
         "suspicious_amount": (F.count_if(amount > SUSPICIOUS_AMOUNT), 0, 0),
-    })
+    }
 
 
 def dq_first_orders(dwd_orders: DataFrame) -> DataFrame:
-    """First-order flags must be as many as users with orders: the difference is reported."""
-    users = dwd_orders.groupBy("user_id").agg(F.sum("is_first_order").alias("firsts"))
+    """First-order flags must be as many as users with orders: the difference is reported. Orders without a user are left out."""
+    users = dwd_orders.where("user_id IS NOT NULL").groupBy("user_id").agg(F.sum("is_first_order").alias("firsts"))
     gap = users.agg(F.abs(F.sum("firsts") - F.count("user_id")).alias("observed"))
     return _result(gap, "first_orders_vs_users", "dwd_orders", 0, 0)
 
@@ -143,6 +148,17 @@ def dq_header_vs_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     return _result(joined.agg(F.count_if(differs).alias("observed")), "amount_differs_from_items", "ods_orders", 0, 0)
 
 
+def dq_rejected_rows(loaded: DataFrame, rejected: DataFrame, table: str) -> DataFrame:
+    """Records of a checked file: all, loaded, and rejected by reason (none may be)."""
+    counts = loaded.agg(F.count(F.lit(1)).alias("n")).select(F.lit("loaded").alias("check"), "n").union(
+        rejected.groupBy(F.concat(F.lit("rejected: "), "reason").alias("check")).agg(F.count(F.lit(1)).alias("n")))
+    counts = counts.union(counts.agg(F.lit("records").alias("check"), F.sum("n").alias("n")))
+    limit = F.when(F.col("check").startswith("rejected: "), 0).cast("bigint")
+    return counts.select(
+        "check", F.lit(table).alias("table"), F.col("n").alias("observed"), limit.alias("limit_low"), limit.alias("limit_high"),
+        F.when(limit.isNull() | (F.col("n") == 0), "PASS").otherwise("FAIL").alias("status"))
+
+
 def dq_text_widths(df: DataFrame, table: str) -> DataFrame:
     """Longest text of each column against its declared width."""
     return _measures(df, table, {

@@ -17,17 +17,29 @@ def is_temporal_name(name: str) -> bool:
     return "time" in name.lower() or "date" in name.lower()
 
 
+def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a field of the file holds a line break, so that the file cannot be split at its lines.
+
+    The first line of such a field opens a quote that it does not close: it has an odd number of quotes. A stray quote
+    in a plain field counts too, which only costs speed. The lines are scanned by many tasks.
+    """
+    odd = F.length(F.col("value")) - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return bool(spark.read.text(path).where(odd % 2 == 1).limit(1).count())
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, parse_dates: Sequence[str] | None = None,
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> DataFrame:
     """Scan a headered CSV into the declared types.
 
     Dates and times are read as text and parsed leniently; ``parse_dates`` names them when
-    the names alone do not tell. Quotes inside a quoted field are doubled, and a field may hold line breaks, so
-    that a file is read by one task; ``multiline=False`` splits large files that hold none. A header that differs from the schema raises, instead of
-    shifting columns silently.
+    the names alone do not tell. Quotes inside a quoted field are doubled, and a field may hold line breaks. A file with such a field
+    is read by one task (``multiline``); others are split. Without a choice, :func:`has_quoted_breaks` tells. A header that
+    differs from the schema raises, instead of shifting columns silently.
     """
+    if multiline is None:
+        multiline = has_quoted_breaks(spark, path)
     temporal = [f.name for f in schema.fields if is_temporal_name(f.name)] if parse_dates is None else parse_dates
     raw = StructType([
         StructField(f.name, StringType() if f.name in temporal else f.dataType) for f in schema.fields
@@ -57,12 +69,12 @@ def parse_temporal(df: DataFrame, columns: dict[str, str] | Sequence[str] | None
     return df.withColumns(parsed) if parsed else df
 
 
-def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_optional(spark: SparkSession, path: str, schema: StructType, multiline: bool | None = None) -> DataFrame:
     """Like :func:`read_csv`, but a missing file gives an empty frame and a message."""
     if not path_exists(spark, path):
         print(f"missing input, 0 rows loaded: {path}")
         return spark.createDataFrame([], schema)
-    return read_csv(spark, path, schema)
+    return read_csv(spark, path, schema, multiline=multiline)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
