@@ -23,6 +23,14 @@ def _magnitude(value: Column) -> Column:
     return F.when(value < 0, -size).otherwise(size)
 
 
+def range_slices(rows: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """Store ``rows`` in ranges of ``order`` of even size, numbered ascending in ``name``.
+
+    Spark samples the bounds, so what is summed per slice and the rows themselves must come from one stored partitioning.
+    """
+    return materialize(rows.repartitionByRange(*order).withColumn(name, F.spark_partition_id()), "range_slices")
+
+
 def counts_before(
     hist: DataFrame, keys: Sequence[str], value: str, weight: Column, descending: bool, last: Column | None = None
 ) -> DataFrame:
@@ -31,16 +39,21 @@ def counts_before(
 
     ``hist`` has one row per (keys, value). Rows are split by magnitude of the value, so
     a group with very many distinct values still runs in many tasks; only one total per
-    magnitude meets in a single task. Rows where ``last`` holds come after all others.
+    magnitude meets in a single task. Floating-point values may crowd in one magnitude: they are
+    split by sampled ranges instead, see :func:`range_slices`. Rows where ``last`` holds come after all others.
     """
-    step = F.coalesce(_magnitude(F.col(value)), F.lit(0))
-    if last is not None:
-        step = F.when(last, -_BEYOND if descending else _BEYOND).otherwise(step)
-    rows = hist.withColumn("__step", step).withColumn("__weight", weight)
     direction = F.desc if descending else F.asc
-    ordered, step_order = direction(value), direction("__step")
+    if dict(hist.dtypes)[value] in ("double", "float"):
+        ordered = [*([] if last is None else [last.asc()]), direction(value)]
+        rows, step_order = range_slices(hist.withColumn("__weight", weight), [*keys, *ordered], "__step"), F.asc("__step")
+    else:
+        step = F.coalesce(_magnitude(F.col(value)), F.lit(0))
+        if last is not None:
+            step = F.when(last, -_BEYOND if descending else _BEYOND).otherwise(step)
+        rows = hist.withColumn("__step", step).withColumn("__weight", weight)
+        ordered, step_order = [direction(value)], direction("__step")
     cell = [*keys, "__step"]
-    local = F.sum("__weight").over(W.partitionBy(*cell).orderBy(ordered).rowsBetween(W.unboundedPreceding, -1))
+    local = F.sum("__weight").over(W.partitionBy(*cell).orderBy(*ordered).rowsBetween(W.unboundedPreceding, -1))
     steps = rows.groupBy(*cell).agg(F.sum("__weight").alias("__total"))
     ahead = F.sum("__total").over(W.partitionBy(*keys).orderBy(step_order).rowsBetween(W.unboundedPreceding, -1))
     whole = F.sum("__total").over(W.partitionBy(*keys))

@@ -527,10 +527,31 @@ def oracle_sql() -> dict[str, str]:
         "WHEN total_amount <= 0 THEN 'invalid_amount' ELSE 'suspicious_amount' END AS reason FROM ods_orders "
         f"WHERE ({plausible}) IS NOT TRUE")
     cut = "TIMESTAMP '1999-01-01 00:00:00'"
-    q["incremental_orders"] = dwd(
-        f"SELECT CASE WHEN create_time <= {cut} THEN 1 ELSE 2 END AS load_number, COUNT(*) AS loaded_rows, "
-        f"MIN(create_time) AS earliest, MAX(create_time) AS latest, {money('SUM(total_amount)')} AS amount "
-        "FROM ods_orders GROUP BY 1")
+    number = "CAST(substr(order_id, 2) AS BIGINT)"
+    for name in ("incremental_orders", "incremental_orders_by_time"):
+        q[name] = dwd(
+            f"SELECT CASE WHEN create_time <= {cut} AND {number} % 50 <> 0 THEN 1 ELSE 2 END AS load_number, COUNT(*) AS loaded_rows, "
+            f"MIN(create_time) AS earliest, MAX(create_time) AS latest, {money('SUM(total_amount)')} AS amount "
+            "FROM ods_orders GROUP BY 1")
+    bad_amount, bad_count = f"{number} % 101 = 7", f"{number} % 103 = 5"
+    q["dq_rejected_orders"] = dwd(
+        "SELECT * FROM (" + _checks(
+            ("records", "ods_orders", "SELECT COUNT(*) FROM ods_orders", None, None),
+            ("loaded", "ods_orders", count("ods_orders", f"NOT ({bad_amount} OR {bad_count})"), None, None),
+            ("rejected: total_amount is not decimal(12,2)", "ods_orders", count("ods_orders", bad_amount), 0, 0),
+            ("rejected: item_count is not int", "ods_orders", count("ods_orders", f"{bad_count} AND NOT {bad_amount}"), 0, 0),
+        ) + ") WHERE observed > 0 OR limit_low IS NULL")
+    q["dwd_orders_observed"] = q["dwd_orders_stats"]
+    q["dwd_order_items_bucketed"] = q["dwd_order_items"]
+    for name in ("dws_user_summary", "dws_product_summary", "dws_date_summary"):
+        q[f"{name}_by_loads"] = q[name]
+    q["updated_order_status"] = dwd(
+        f"SELECT strftime(create_time, '%Y-%m') AS order_month, "
+        f"CASE WHEN year(create_time) = 1998 AND {number} % 97 = 0 THEN 'refunded' ELSE status END AS status, "
+        f"COUNT(*) AS orders, {money('SUM(total_amount)')} AS amount FROM ods_orders GROUP BY 1, 2")
+    q["active_users_rollup"] = dwd("\nUNION ALL ".join(
+        f"SELECT '{period}' AS period, CAST(date_trunc('{period}', create_time) AS DATE) AS first_day, COUNT(DISTINCT user_id) AS users "
+        f"FROM ods_orders GROUP BY 2" for period in ("day", "month", "quarter", "year")))
 
     # The user operators over the event log
     q["event_streaks"] = (

@@ -13,10 +13,12 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..schemas import PRIMARY_KEYS
 from ..sources import starschema
 from ..storage import fingerprint, materialize
 from .dwd import build_dwd_order_items, build_dwd_orders, with_order_month
 from .dws import build_date_summary, build_product_summary, build_user_summary
+from .quality import dq_primary_key, require
 
 
 #: The time that facts are partitioned by, by month.
@@ -26,7 +28,7 @@ FACT_TIMES = {"dwd_orders": "create_time", "dwd_order_items": "order_time"}
 class Layers(Mapping):
     """Table name -> DataFrame; asking for a table builds what it depends on.
 
-    Raw tables are given as frames, used as they are, or as builders, whose result is stored.
+    Raw tables are given as frames, used as they are, or as builders, whose result is stored and must have unique keys.
     ``by_month`` adds the order month to the facts and partitions them by it, as the pipeline does.
     """
 
@@ -56,6 +58,8 @@ class Layers(Mapping):
             if self._by_month and name in FACT_TIMES:
                 table, month = with_order_month(table, FACT_TIMES[name]), "order_month"
             self._tables[name] = materialize(table, name, month) if self._store else table
+            if self._store and name.startswith("ods_"):  # facts and sums count rows per key
+                require(dq_primary_key(self._tables[name], name, PRIMARY_KEYS[name]))
         return self._tables[name]
 
     def __iter__(self):

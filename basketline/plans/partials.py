@@ -14,13 +14,14 @@ from the partials, and a load is taken back by dropping its partials.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.rules import valid_order
-from ..sources.tables import overwrite
-from ..storage import hadoop_path, materialize, path_exists
+from ..storage import hadoop_path, path_exists, read_text, write_text
 from . import dws
 
 PRODUCT = ["product_id", "product_name", "category", "sub_category", "brand"]
@@ -76,56 +77,66 @@ def merged(name: str, partials: DataFrame) -> DataFrame:
 
 
 class PartialStore:
-    """Partial tables of all loads in a folder, a sub-folder for each table and load.
+    """Partial tables of all loads in a folder: a sub-folder for each table and version of a load.
 
-    A load's partials are swapped in as a whole, so adding it again replaces it. Tables are written one after the other;
-    ``loads`` counts a load once its last table is there, and a load that was cut off before is not read.
+    A numbered list file names the versions that count. Every change writes its tables first and then the next list, by one
+    rename, so a change that was cut off changes nothing and is simply made again. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
 
-    def _path(self, name: str, load: str) -> str:
-        return f"{self.folder}/{name}/load={load}"
+    def _list(self) -> tuple[int, dict[str, str]]:
+        """Number of the newest list, and the version of each load in it."""
+        if not path_exists(self.spark, f"{self.folder}/lists"):
+            return 0, {}
+        fs, path = hadoop_path(self.spark, f"{self.folder}/lists")
+        numbers = [int(n) for status in fs.listStatus(path) if (n := status.getPath().getName()).isdigit()]
+        newest = max(numbers, default=0)
+        return newest, json.loads(read_text(self.spark, f"{self.folder}/lists/{newest}") or "{}")
+
+    def _change(self, drop: list[str], add: str | None = None, tables: Mapping[str, DataFrame] | None = None) -> None:
+        number, listed = self._list()
+        version = uuid.uuid4().hex[:12]
+        for name, df in (tables or {}).items():
+            df.write.parquet(self._path(name, version))
+        old = [listed.pop(load) for load in drop if load in listed]
+        if add is not None:
+            listed[add] = version
+        beside = f"{self.folder}/lists/new-{version}"
+        write_text(self.spark, beside, json.dumps(listed))
+        fs, source = hadoop_path(self.spark, beside)
+        if not fs.rename(source, hadoop_path(self.spark, f"{self.folder}/lists/{number + 1}")[1]):
+            raise OSError(f"cannot write list {number + 1} of {self.folder}")
+        for gone in old:
+            for name in KEYS:
+                fs.delete(hadoop_path(self.spark, self._path(name, gone))[1], True)
+
+    def _path(self, name: str, version: str) -> str:
+        return f"{self.folder}/{name}/{version}"
 
     def loads(self) -> list[str]:
-        """Names of the complete loads."""
-        last = f"{self.folder}/{list(KEYS)[-1]}"
-        if not path_exists(self.spark, last):
-            return []
-        fs, path = hadoop_path(self.spark, last)
-        names = (status.getPath().getName() for status in fs.listStatus(path))
-        return sorted(n.removeprefix("load=") for n in names if n.startswith("load="))
+        """Names of the loads that count."""
+        return sorted(self._list()[1])
 
     def add(self, load: str, orders: DataFrame, items: DataFrame, products: DataFrame) -> None:
         """Add a load, or replace the one of that name."""
-        self.remove(load)
-        for name, df in partials_of(orders, items, products).items():
-            overwrite(df, self._path(name, load))
+        self._change([load], load, partials_of(orders, items, products))
 
     def remove(self, load: str) -> None:
-        """Take a load back. The table that makes it count goes first."""
-        for name in reversed(KEYS):
-            fs, path = hadoop_path(self.spark, self._path(name, load))
-            fs.delete(path, True)
+        """Take a load back."""
+        self._change([load])
 
     def compact(self, loads: list[str], into: str) -> None:
-        """Merge several loads into one of a new name, which bounds the number of partials to read. They can no longer be taken back singly.
-
-        Cut off between writing and removing, both would count: so the old ones go first, table by table, and the new one is only
-        complete when its last table is there; after a cut, run it again from the loads' own rows.
-        """
-        if into in self.loads():
+        """Merge several loads into one, which bounds the number of partials to read. They can no longer be taken back singly."""
+        if into in set(self.loads()) - set(loads):
             raise ValueError(f"load {into} exists")
-        stored = {name: materialize(merged(name, self._read(name, loads)), f"compact_{name}") for name in KEYS}
-        for load in loads:
-            self.remove(load)
-        for name, df in stored.items():
-            overwrite(df, self._path(name, into))
+        self._change(loads, into, {name: merged(name, self._read(name, loads)) for name in KEYS})
 
     def _read(self, name: str, loads: list[str]) -> DataFrame:
-        return self.spark.read.parquet(*(self._path(name, load) for load in loads))
+        listed = self._list()[1]
+        return self.spark.read.parquet(*(self._path(name, listed[load]) for load in loads))
 
     def tables(self) -> dict[str, DataFrame]:
         """Each partial table merged over all loads. Without a load there is nothing to read, which raises."""
@@ -151,9 +162,10 @@ def product_summary(t: Mapping[str, DataFrame]) -> DataFrame:
 def date_summary(t: Mapping[str, DataFrame]) -> DataFrame:
     """``dws_date_summary`` from merged partials."""
     firsts = t["firsts"].where("first.is_valid_order = 1").select(
-        "user_id", F.col("first.order_date").alias("order_date"), F.lit(1).alias("new"))
+        F.col("user_id").alias("_user"), F.col("first.order_date").alias("_day"), F.lit(1).alias("new"))
     days = t["day_users"]
     again = days.where("user_id IS NOT NULL").groupBy("user_id").agg(F.sum("orders").alias("n")).where("n >= 2")
-    per_user = days.join(firsts, ["user_id", "order_date"], "left").withColumnsRenamed({"valid": "valid_orders"}).withColumns({
+    same = (F.col("user_id") == F.col("_user")) & F.col("order_date").eqNullSafe(F.col("_day"))
+    per_user = days.join(firsts, same, "left").withColumnsRenamed({"valid": "valid_orders"}).withColumns({
         "active": F.when(F.col("valid_orders") > 0, 1).otherwise(0), "new": F.coalesce("new", F.lit(0))})
     return dws.date_summary_of(per_user, again.select("user_id", F.lit(1).alias("again")))

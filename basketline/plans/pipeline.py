@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from ..functions.dates import as_of_date
 from ..schemas import PRIMARY_KEYS
 from ..sources.tables import ODS_FILES, load_ods_table, overwrite, read_table
-from ..storage import fingerprint, hadoop_path, path_exists, temporary_tables
+from ..storage import fingerprint, hadoop_path, path_exists, read_text, temporary_tables, write_text
 from .ads import ads_daily_kpis
 from .dwd import build_dwd_order_items, build_dwd_orders, dwd_items_metrics, dwd_orders_metrics, with_order_month
 from .dws import build_date_summary, build_product_summary, build_user_summary
@@ -27,26 +27,6 @@ class AlreadyRunning(RuntimeError):
     """Another run holds the warehouse."""
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, jpath = hadoop_path(spark, path)
-    out = fs.create(jpath, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, jpath = hadoop_path(spark, path)
-    if not fs.exists(jpath):
-        return ""
-    stream = fs.open(jpath)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-
-
 class _Marker:
     """The file that keeps two runs apart: it names its owner, and ends ``lease_hours`` after it was last renewed."""
 
@@ -60,12 +40,12 @@ class _Marker:
             if idle > self.lease_hours * 3600:
                 fs.delete(marker, False)  # its run has died: each finished table renews it
         if not fs.createNewFile(marker):
-            owner = _read_text(self.spark, self.path) or "another run"
+            owner = read_text(self.spark, self.path) or "another run"
             raise AlreadyRunning(f"{self.path} exists: {owner}, which may run until {self.lease_hours} hours after its last table")
         self.renew()
 
     def renew(self) -> None:
-        _write_text(self.spark, self.path, f"{self.spark.sparkContext.applicationId} at {dt.datetime.now(dt.timezone.utc).isoformat()}")
+        write_text(self.spark, self.path, f"{self.spark.sparkContext.applicationId} at {dt.datetime.now(dt.timezone.utc).isoformat()}")
 
     def release(self) -> None:
         fs, marker = hadoop_path(self.spark, self.path)
@@ -90,11 +70,11 @@ class _RunLog:
         self.spark, self.folder = spark, f"{warehouse}/_run"
 
     def finished(self, name: str, inputs: str) -> dict | None:
-        entry = json.loads(_read_text(self.spark, f"{self.folder}/{name}") or "{}")
+        entry = json.loads(read_text(self.spark, f"{self.folder}/{name}") or "{}")
         return entry["measured"] if entry.get("inputs") == inputs else None
 
     def note(self, name: str, inputs: str, measured: dict) -> None:
-        _write_text(self.spark, f"{self.folder}/{name}", json.dumps({"inputs": inputs, "measured": measured}))
+        write_text(self.spark, f"{self.folder}/{name}", json.dumps({"inputs": inputs, "measured": measured}))
 
     def clear(self) -> None:
         fs, folder = hadoop_path(self.spark, self.folder)

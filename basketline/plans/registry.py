@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..operators import cohorts
-from ..schemas import PRIMARY_KEYS
+from ..operators.distinct_sets import dense_numbers, distinct_over, member_sets, with_numbers
+from ..schemas import PRIMARY_KEYS, SCHEMAS
 from ..sources import generate, starschema
+from ..sources.checked import read_csv_checked
+from ..sources.files import write_csv
 from ..sources.starschema import AS_OF, source_table
+from ..sources.tables import overwrite, save_as_table, update_partitions
 from ..storage import materialize, new_path
+from ..streaming.arrivals import load_arrivals, read_arrivals
 from ..streaming.incremental import incremental_load, read_loaded
-from . import ads, cleaning, dwd, dwd_reports, dws, dws_reports, ods_reports, profiling, quality
+from . import ads, cleaning, dwd, dwd_reports, dws, dws_reports, ods_reports, partials, profiling, quality
 from .layers import Layers, layers_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,20 +130,122 @@ def _events() -> dict[str, Query]:
     }
 
 
-def incremental_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Load the orders in two goes, before and after a date, and sum up what each stored."""
-    orders = layers_of(spark, folder)["ods_orders"]
-    target, state = new_path(spark, "orders_by_load"), new_path(spark, "load_state")
-    incremental_load(spark, orders, target, state, "orders", "create_time", upto=INCREMENTAL_CUT)
-    incremental_load(spark, orders, target, state, "orders", "create_time")
-    second = F.col("load_after") != "0001-01-01-00-00-00"
-    return read_loaded(spark, target).groupBy(F.when(second, 2).otherwise(1).alias("load_number")).agg(
+def _order_number() -> Column:
+    return F.substring("order_id", 2, 20).cast("bigint")
+
+
+def _loaded(rows: DataFrame, load: Column) -> DataFrame:
+    return rows.groupBy(load.alias("load_number")).agg(
         F.count(F.lit(1)).alias("loaded_rows"),
         F.min("create_time").alias("earliest"), F.max("create_time").alias("latest"),
         F.sum("total_amount").cast("decimal(18,2)").alias("amount"),
     )
 
 
+def _late() -> Column:
+    """One order in fifty arrives after its time."""
+    return _order_number() % 50 == 0
+
+
+def incremental_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Load the orders in two goes, as they arrive: up to a date but for late ones, then the rest with the late ones."""
+    orders = layers_of(spark, folder)["ods_orders"]
+    landing, target, state = (new_path(spark, name) for name in ("landing", "orders_by_load", "load_state"))
+    first = (F.col("create_time") <= F.lit(INCREMENTAL_CUT).cast("timestamp_ntz")) & ~_late()
+    for load, arrived in enumerate((orders.where(first), orders.where(~first)), 1):
+        arrived.write.mode("append").parquet(landing)
+        load_arrivals(spark, landing, target, state, orders.schema, load)
+    return _loaded(read_arrivals(spark, target, orders.schema), F.col("load_number"))
+
+
+def incremental_orders_by_time(spark: SparkSession, folder: str) -> DataFrame:
+    """Load the orders in two goes by the time of the last load, late ones by their key, and sum up what each stored."""
+    orders = layers_of(spark, folder)["ods_orders"]
+    target, state = new_path(spark, "orders_by_mark"), new_path(spark, "mark_state")
+    incremental_load(spark, orders.where(~_late()), target, state, "orders", "create_time", upto=INCREMENTAL_CUT)
+    incremental_load(spark, orders, target, state, "orders", "create_time", key=["order_id"])
+    return _loaded(read_loaded(spark, target), F.when(F.col("load_after") != "0001-01-01-00-00-00", 2).otherwise(1))
+
+
+def dq_rejected_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written as CSV, some with text where a number belongs, and checked on the way back in."""
+    orders, number = layers_of(spark, folder)["ods_orders"], _order_number()
+    path = new_path(spark, "damaged_orders")
+    write_csv(orders.withColumns({
+        "total_amount": F.when(number % 101 == 7, "abc").otherwise(F.col("total_amount").cast("string")),
+        "item_count": F.when(number % 103 == 5, "two").otherwise(F.col("item_count").cast("string")),
+    }), path)
+    checked = read_csv_checked(spark, path, SCHEMAS["ods_orders"])
+    return quality.dq_rejected_rows(checked.loaded, checked.rejected, "ods_orders")
+
+
+def dwd_orders_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """The figures of the order facts as the job that writes them reports them."""
+    t, seen = layers_of(spark, folder), Observation("dwd_orders")
+    facts = dwd.with_order_month(dwd.build_dwd_orders(t["ods_orders"], t["ods_users"]), "create_time")
+    overwrite(facts, new_path(spark, "dwd_orders"), "order_month", seen, dwd.dwd_orders_metrics())
+    figures = seen.get
+    return spark.createDataFrame([tuple(figures[n] for n in ("total", "valid", "first"))], "total bigint, valid bigint, first bigint")
+
+
+def dwd_order_items_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The item facts from raw tables bucketed by order, so that items meet their orders without a shuffle."""
+    t, buckets = layers_of(spark, folder), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucketed = {}
+    for name in ("ods_orders", "ods_order_items"):
+        path = new_path(spark, f"bucketed_{name}")
+        table = path.rsplit("/", 1)[-1].replace("-", "_")
+        save_as_table(t[name], table, "order_id", buckets, path)
+        bucketed[name] = spark.table(table)
+    return dwd.build_dwd_order_items(bucketed["ods_order_items"], bucketed["ods_orders"], t["ods_products"])
+
+
+def updated_order_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Some orders of 1998 are refunded in the stored facts, whose other months stay; orders and amount by month and state."""
+    path = new_path(spark, "updated_orders")
+    facts = layers_of(spark, folder)["dwd_orders"]
+    overwrite(facts, path, "order_month")
+    refunded = facts.where((F.year("create_time") == 1998) & (_order_number() % 97 == 0)).select("order_id", F.lit("refunded").alias("status"))
+    update_partitions(spark, path, refunded, "order_id", "order_month")
+    return spark.read.parquet(path).groupBy("order_month", "status").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("total_amount").cast("decimal(18,2)").alias("amount"))
+
+
+N_LOADS = 3
+
+
+def _by_loads(summary: Callable[[SparkSession, str, dict[str, DataFrame]], DataFrame]) -> Query:
+    """A summary from the partials of loads that each bring a share of the orders of all days."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        t = layers_of(spark, folder)
+        key = (id(spark._jvm), spark.sparkContext.applicationId, folder, id(t))
+        if key not in _STORES:
+            store = partials.PartialStore(spark, new_path(spark, "partials"))
+            for load in range(N_LOADS):
+                mine = F.pmod(_order_number(), F.lit(N_LOADS)) == load
+                store.add(str(load), t["ods_orders"].where(mine), t["ods_order_items"].where(mine), t["ods_products"])
+            _STORES[key] = store
+        return summary(spark, folder, _STORES[key].tables())
+
+    return run
+
+
+_STORES: dict[tuple, partials.PartialStore] = {}
+
+
+def active_users_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct users with an order per day, month, quarter and year, all from the daily sets."""
+    orders = layers_of(spark, folder)["dwd_orders"].select("user_id", "order_date")
+    numbers = dense_numbers(layers_of(spark, folder)["ods_users"], "user_id")
+    daily = materialize(member_sets(with_numbers(orders, numbers, "user_id"), ["order_date"]), "daily_users")
+    day = F.col("order_date")
+    periods = {"day": day, "month": F.trunc(day, "month"), "quarter": F.trunc(day, "quarter"), "year": F.trunc(day, "year")}
+    parts = [distinct_over(daily, [first.alias("first_day")], "users").select(F.lit(name).alias("period"), "first_day", "users")
+             for name, first in periods.items()]
+    return reduce(DataFrame.union, parts)
+
+
 def _numbers(spark: SparkSession, folder: str, table: str, key: str) -> DataFrame:
     """The row numbers of a generated table: one per row of a source table."""
     return source_table(spark, folder, table).select((F.col(key) + 1).alias("n"))
@@ -210,6 +318,16 @@ def all_queries() -> dict[str, Query]:
     return {
         **_tables(), **_reports(), **_checks(), **_events(),
         "incremental_orders": incremental_orders,
+        "incremental_orders_by_time": incremental_orders_by_time,
+        "dq_rejected_orders": dq_rejected_orders,
+        "dwd_orders_observed": dwd_orders_observed,
+        "dwd_order_items_bucketed": dwd_order_items_bucketed,
+        "updated_order_status": updated_order_status,
+        "dws_user_summary_by_loads": _by_loads(
+            lambda spark, folder, t: partials.user_summary(t, layers_of(spark, folder)["ods_users"], AS_OF)),
+        "dws_product_summary_by_loads": _by_loads(lambda spark, folder, t: partials.product_summary(t)),
+        "dws_date_summary_by_loads": _by_loads(lambda spark, folder, t: partials.date_summary(t)),
+        "active_users_rollup": active_users_rollup,
         "gen_users": generated_users,
         "gen_products": generated_products,
         "gen_orders": generated_orders,

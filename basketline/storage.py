@@ -84,3 +84,25 @@ def fingerprint(spark: SparkSession, path: str) -> str:
         return "absent"
     summary = fs.getContentSummary(jpath)
     return f"{summary.getLength()}-{fs.getFileStatus(jpath).getModificationTime()}"
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with this text."""
+    fs, jpath = hadoop_path(spark, path)
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file; none if it is absent."""
+    fs, jpath = hadoop_path(spark, path)
+    if not fs.exists(jpath):
+        return ""
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

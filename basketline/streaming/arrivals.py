@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..storage import path_exists
 
@@ -34,7 +34,7 @@ def load_arrivals(
 
 def read_arrivals(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
     """All rows loaded so far, with their ``load_number``."""
-    full = StructType(schema.fields).add("load_number", "int")
+    full = StructType([*schema.fields, StructField("load_number", IntegerType())])
     if not path_exists(spark, f"{target.rstrip('/')}/_spark_metadata"):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(target)

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import numpy as np
 import pytest
 from micro import rows
 from pyspark.sql import Window, functions as F
 
+from basketline.operators import ranking
 from basketline.plans import dwd_reports, dws
 from basketline.plans.cleaning import clean_orders
 from basketline.plans.dwd import build_dwd_order_items, build_dwd_orders
 from basketline.schemas import conform
 from basketline.sources import generate
+from basketline.storage import materialize
 
 AS_OF = "2026-03-01"
 
@@ -108,3 +111,25 @@ def test_copies_of_one_order_are_cut_before_the_shuffle(spark, shop):
     text = executed(cleaned)
     assert text.count("WindowGroupLimit") >= 2
     assert cleaned.count() == 8_000
+
+
+def test_crowded_doubles_are_ranked_in_even_slices(spark):
+    n = 1_000_000
+    value = F.pmod(F.xxhash64("id"), F.lit(2**40)) / F.lit(2.0**40) * 0.001
+    df = spark.range(n).select("id", value.alias("v")).withColumn("v", F.when(F.col("id") % 1000 > 0, F.col("v")))
+    df = materialize(df, "doubles")
+    hist = df.where("v is not null").groupBy("v").count()
+    sizes = [r["count"] for r in ranking.range_slices(hist, ["v"], "part").groupBy("part").count().collect()]
+    assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+    values = np.array([r.v for r in df.where("v is not null").orderBy("id").select("v").toLocalIterator()])
+    found = ranking.exact_quantiles(df, "v", {"q1": 0.25, "q2": 0.5, "q9": 0.999}).first()
+    assert np.allclose(found, np.quantile(values, [0.25, 0.5, 0.999]), rtol=1e-12)
+    ordered = np.sort(values)
+    ranks = ranking.rank_within(df.withColumn("g", F.lit(1)), ["g"], "v", "rank").where("id % 997 = 0").collect()
+    for r in ranks:
+        assert r["rank"] == (len(values) + 1 if r.v is None else len(values) - np.searchsorted(ordered, r.v, "right") + 1)
+    ranks = ranking.rank_within(df.withColumn("g", F.lit(1)), ["g"], "v", "rank", dense=True, descending=False).where("id % 997 = 0")
+    distinct = np.unique(values)
+    for r in ranks.collect():
+        assert r["rank"] == (len(distinct) + 1 if r.v is None else np.searchsorted(distinct, r.v) + 1)
