@@ -83,17 +83,23 @@ class Model:
 
     def mixtures(self, data: np.ndarray, offsets: np.ndarray, penalty: float = PENALTY,
                  steps: int = STEPS) -> np.ndarray:
-        """Proportions of the languages in each text (a row each; zeros without a gram).
+        """The proportions alone of :meth:`explained`."""
+        return self.explained(data, offsets, penalty, steps)[0]
+
+    def explained(self, data: np.ndarray, offsets: np.ndarray, penalty: float = PENALTY,
+                  steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions of the languages in each text (a row each; zeros without a gram), and how much likelier the chosen
+        set makes a gram of the text than equal chances for all grams do (mean logarithm; 0 without a gram).
 
         Languages are tried in the order of their proportions in a first fit of all of them. One joins a text's
         set if it raises the log-likelihood by more than ``penalty * log(grams)``; after one that does not, the next
         is tried. The others are tried again as long as one joins.
         """
         texts, n_langs = len(offsets) - 1, len(self.languages)
-        shares = np.zeros((texts, n_langs))
+        shares, evidence = np.zeros((texts, n_langs)), np.zeros(texts)
         ids, owner = grams(data, offsets)
         if not len(ids) or not n_langs:
-            return shares
+            return shares, evidence
         keys, counts = np.unique(owner * BINS + ids, return_counts=True)
         owner, p, counts = keys // BINS, self.p[keys % BINS], counts.astype(float)
         present, first = np.unique(owner, return_index=True)
@@ -136,7 +142,8 @@ class Model:
                 joined[rows[better]] = True
             active = joined
         shares[present] = chosen
-        return shares
+        evidence[present] = best / total + np.log(BINS)
+        return shares, evidence
 
 
 def train(docs: DataFrame) -> Model:
@@ -146,14 +153,15 @@ def train(docs: DataFrame) -> Model:
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """Adds ``lang_pred``, ``score`` and ``languages`` to the columns of ``docs``.
+    """Adds ``lang_pred``, ``score``, ``languages`` and ``evidence`` to the columns of ``docs``.
 
     ``lang_pred`` is the language with the largest proportion (ties: the first by code point), ``score`` that
-    proportion, ``languages`` the chosen set with its proportions. NULL texts and texts without a letter, and all
-    texts where nothing could be learned, are ``und`` with score 0 and no languages. Repeated rows are judged alike.
+    proportion, ``languages`` the chosen set with its proportions, ``evidence`` how well that set explains the text: below 0, a
+    gram of it is less likely than if all grams were. NULL texts and texts without a letter, and all
+    texts where nothing could be learned, are ``und`` with score and evidence 0 and no languages. Repeated rows are judged alike.
     Columns of these names are replaced; others pass through.
     """
-    given = [c for c in docs.columns if c not in ("lang_pred", "score", "languages")]
+    given = [c for c in docs.columns if c not in ("lang_pred", "score", "languages", "evidence")]
     docs = docs.select(*given)
     inner = docs.toDF(*[f"_c{i}" for i in range(len(given))])
     text = F.col(f"_c{given.index('text')}")
@@ -164,7 +172,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks(batches, f"_c{given.index('text')}"):
-            shares = shared.value.mixtures(data, offsets)
+            shares, evidence = shared.value.explained(data, offsets)
             readable = part["_readable"].to_numpy(zero_copy_only=False).astype(bool)
             if not names:
                 shares = np.zeros((part.num_rows, 1))
@@ -176,13 +184,14 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     for row, ok in zip(shares, readable)]
             columns = [part[f"_c{i}"] for i in range(len(given))]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(pred), pa.array(score), pa.array(sets, pa.map_(pa.string(), pa.float64()))],
-                [*[f"_c{i}" for i in range(len(given))], "lang_pred", "score", "languages"])
+                [*columns, pa.array(pred), pa.array(score), pa.array(sets, pa.map_(pa.string(), pa.float64())),
+                 pa.array(np.where(readable, evidence, 0.0))],
+                [*[f"_c{i}" for i in range(len(given))], "lang_pred", "score", "languages", "evidence"])
 
     fields = ", ".join(f"_c{i} {t}" for i, (_, t) in enumerate(docs.dtypes))
     out = inner.select(*[f"_c{i}" for i in range(len(given))], "_readable").mapInArrow(
-        predict, f"{fields}, lang_pred string, score double, languages map<string,double>")
-    return out.toDF(*given, "lang_pred", "score", "languages")
+        predict, f"{fields}, lang_pred string, score double, languages map<string,double>, evidence double")
+    return out.toDF(*given, "lang_pred", "score", "languages", "evidence")
 
 
 def query(spark, folder: str) -> DataFrame:

@@ -6,14 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..storage import materialize
 from .language import held_out
 from .text import blocks, words
 
 PASSAGE = 800
 MOST_LABELS = 8_000
-MOST_PASSAGES = 256
+MOST_PASSAGES = 400_000
 THRESHOLD = 0.3
 HIDDEN, GATE = 24, 12
 
@@ -133,9 +134,10 @@ class AttentionModel:
 def train(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS, most_passages: int = MOST_PASSAGES) -> AttentionModel:
     """Learns from a bounded sample of the labels (doc_id, quality) and their texts.
 
-    The sample is the ``most_labels`` rows with the smallest hash of their id. For learning alone, a text gives
-    ``most_passages`` passages at most, evenly spread. Rows without an id, a label or a document are not used;
-    repeated rows count as often as they occur. Without any row every score is 0.5.
+    The sample is bounded by two parameters: the ``most_labels`` label rows with the smallest hash of their id, and of these
+    the first ones whose texts have ``most_passages`` passages together. A text in the sample is learned from whole. Rows without
+    an id, a label or a document are not used; repeated label rows count as often as they occur, and of documents that
+    share an id the first text by code point is taken. Without any row every score is 0.5.
     """
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").select(
         F.col("doc_id").alias("_id"), (F.col("quality") == 1).cast("double").alias("_y"))
@@ -144,14 +146,17 @@ def train(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS, mo
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks(batches):
             x, first = passages(data, offsets)
-            rows = []
-            for a, b in zip(first[:-1], first[1:]):
-                pick = np.unique(np.linspace(a, b - 1, min(b - a, most_passages)).astype(np.int64))
-                rows.append(x[pick].astype(np.float32).tobytes())
+            rows = [x[a:b].astype(np.float32).tobytes() for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays([part["_id"], part["_y"], pa.array(rows, pa.binary())], ["id", "y", "x"])
 
     texts = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
-    joined = texts.join(F.broadcast(sample), "_id").select("_id", "_y", "text")
+    ids = sample.select("_id").distinct()
+    own = materialize(texts.join(F.broadcast(ids), "_id", "left_semi").groupBy("_id").agg(F.min("text").alias("text")), "labelled_texts")
+    number = F.greatest(F.ceil(F.octet_length("text") / PASSAGE), F.lit(1))
+    order = W.orderBy(F.xxhash64("_id"), "_id", "_y").rowsBetween(W.unboundedPreceding, 0)  # of most_labels rows at most
+    sized = sample.join(own.select("_id", number.alias("_n")), "_id").withColumn("_sum", F.sum("_n").over(order))
+    used = sized.where(F.col("_sum") <= most_passages).select("_id", "_y")
+    joined = own.join(F.broadcast(used), "_id").select("_id", "_y", "text")
     rows = joined.mapInArrow(featured, "id long, y double, x binary").collect()
     rows = sorted((r["id"], r["y"], bytes(r["x"])) for r in rows)
     model = AttentionModel()
