@@ -8,11 +8,10 @@ from basketline.llm import language, mixing, near, packing, private
 from basketline.llm.ship import ship
 from basketline.storage import new_path
 
-LEAST_SHARE = 0.5
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those where no language has half of the text.
+    """Drops documents without a letter and those that no set of learned languages explains better than equal chances of
+    all grams would: other languages and noise. A mixture of learned languages stays, whatever their shares.
 
     Learns from the documents' own texts and ``lang``. Where no document has a ``lang``, only letters count.
     """
@@ -23,7 +22,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     given = docs.columns
     plain = docs.toDF(*[c if c == "text" else f"_d{i}" for i, c in enumerate(given)])
-    found = language.identify(plain, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    found = language.identify(plain, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("evidence") > 0))
     return found.select(*plain.columns).toDF(*given)
 
 
