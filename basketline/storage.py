@@ -52,6 +52,22 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def materialized(df: DataFrame, label: str):
+    """:func:`materialize` for one step: the table is deleted on leaving, and nothing may read it later.
+
+    The collection asked of the driver's JVM lets Spark remove the shuffle files of jobs that have ended.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        fs, jpath = hadoop_path(spark, path)
+        fs.delete(jpath, True)
+        spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def temporary_tables(spark: SparkSession):
     """Delete on leaving what :func:`materialize` wrote inside; nothing may read it later."""
