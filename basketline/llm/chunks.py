@@ -8,12 +8,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..storage import materialize
+from ..storage import materialize, materialized
 from .text import blocks, mix, powers
 
 WINDOW = 32
 MIN_CHARS = 160
-SLACK = 16
+#: How many characters the grams that split a window's run are shorter than the window, step by step.
+SLACKS = (64, 16)
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.ones(0, np.uint64)] * 2
@@ -124,65 +125,75 @@ def _kind_texts(docs: DataFrame, kinds: DataFrame) -> DataFrame:
     return found.dropDuplicates(["kind"])  # rows that repeat an id and a text
 
 
-def _common_windows(texts: DataFrame, min_chars: int) -> DataFrame:
-    """The windows of kinds of chunks that two rows have at least, joined where rows and first id agree: kind, parts.
+def _runs(texts: DataFrame, size: int, min_chars: int) -> DataFrame:
+    """The windows of the ``ranges`` of every kind, in runs with the same smallest gram of ``size`` characters.
 
-    A window that two rows have shares the smallest of its grams that are ``SLACK`` characters shorter too, so
-    only windows where this one is shared are compared.
+    ``above`` is the gram of the range, ``digest`` a hash of the run's whole text.
     """
-    def values(data, offsets):
-        return _windows(data, offsets, min_chars, lambda s: _stretches(s, max(1, min_chars - SLACK)))
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in blocks(batches):
-            _, _, _, gram, text = values(data, offsets)
-            fresh = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])]))
-            take = pa.array(text[fresh])
-            yield pa.RecordBatch.from_arrays(
-                [*[part[c].take(take) for c in ("kind", "low", "high")], pa.array(gram[fresh].view(np.int64))],
-                ["kind", "low", "high", "gram"])
+    given = ["kind", "low", "high", "first", "n"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = ["kind", "low", "high", "first", "n"]
         for part, data, offsets in blocks(batches):
-            signs, places, at, gram, text = values(data, offsets)
-            bounds = np.searchsorted(text, np.arange(len(places)))
-            chosen = np.concatenate([
-                np.isin(gram[low:high], wanted.values.to_numpy().view(np.uint64))
-                for low, high, wanted in zip(bounds[:-1], bounds[1:], part["grams"])])
-            at, gram, text = at[chosen], gram[chosen], text[chosen]
-            digest, take = _stretches(signs, min_chars)[at], pa.array(text)
+            signs, places = characters(data, offsets)
+            start, end, above = (c.to_numpy() for c in part["ranges"].flatten().flatten())
+            row = np.repeat(np.arange(part.num_rows), part["ranges"].value_lengths().to_numpy())
+            counts = end - start - min_chars + 1
+            of = np.repeat(np.arange(len(start)), counts)
+            at = (places[row] + start - (np.cumsum(counts) - counts))[of] + np.arange(len(of))
+            gram = _lowest(_stretches(signs, size), min_chars - size + 1)[at]
+            fresh = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (gram[1:] != gram[:-1])]))
+            low, high = at[fresh], at[np.append(fresh[1:], len(at)) - 1] + min_chars
+            sums, back = _prefixes(signs)
+            digest = mix((sums[high] - sums[low]) * back[low] + (high - low).astype(np.uint64))
+            row, of = row[of[fresh]], of[fresh]
+            take, base = pa.array(row), places[row]
             yield pa.RecordBatch.from_arrays(
-                [*[part[c].take(take) for c in given], pa.array(at - places[text], pa.int32()),
-                 pa.array(gram.view(np.int64)), pa.array(digest.view(np.int64))], [*given, "start", "gram", "digest"])
+                [*[part[c].take(take) for c in given], pa.array(low - base, pa.int32()), pa.array(high - base, pa.int32()),
+                 pa.array(above[of]), pa.array(gram[fresh].view(np.int64)), pa.array(digest.view(np.int64))],
+                [*given, "start", "end", "above", "gram", "digest"])
 
+    return texts.mapInArrow(cut, "kind long, low long, high long, first long, n long, start int, end int, above long, "
+                                 "gram long, digest long")
+
+
+def _common_parts(kinds: DataFrame, texts: DataFrame, min_chars: int) -> DataFrame:
+    """The stretches of kinds of chunks whose windows two rows have at least, joined where rows and first id agree: kind, parts.
+
+    Each step cuts the windows that are still open into shorter runs, by the smallest of longer grams. A run whose gram one row
+    alone has is dropped. Where all runs of a gram are equal, they stand for their windows; of the others
+    the next step decides. The grams of the last step are the windows themselves, so none is left open.
+    """
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
             for found in batch["parts"]:
-                start, first, n = (c.to_numpy() for c in found.values.flatten())
-                order = np.argsort(start)
-                start, first, n = start[order], first[order], n[order]
-                fresh = np.flatnonzero(np.concatenate(
-                    [[True], (np.diff(start) > 1) | (np.diff(first) != 0) | (np.diff(n) != 0)]))
-                stop = start[np.append(fresh[1:], len(start)) - 1] + min_chars
+                start, end, first, n = (c.to_numpy() for c in found.values.flatten())
+                order = np.argsort(start, kind="stable")
+                start, end, first, n = start[order], end[order], first[order], n[order]
+                fresh = np.flatnonzero(np.concatenate([[True], (start[1:] > end[:-1] - min_chars + 1)
+                                                       | (np.diff(first) != 0) | (np.diff(n) != 0)]))
+                stop = end[np.append(fresh[1:], len(end)) - 1]
                 parts.append([dict(zip(("a", "b", "first", "n"), x)) for x in zip(
                     start[fresh].tolist(), stop.tolist(), first[fresh].tolist(), n[fresh].tolist())])
             yield pa.RecordBatch.from_arrays([batch["kind"], pa.array(parts, pa.list_(pa.struct(
                 [("a", pa.int32()), ("b", pa.int32()), ("first", pa.int64()), ("n", pa.int64())])))], ["kind", "parts"])
 
-    held = texts.select("kind", "low", "high", "text").mapInArrow(grams, "kind long, low long, high long, gram long")
-    shared = held.groupBy("gram").agg(F.min("low").alias("_low"), F.max("high").alias("_high")).where(
-        "_low < _high").select("gram")
-    wanted = held.select("kind", "gram").distinct().join(shared, "gram").groupBy("kind").agg(
-        F.collect_list("gram").alias("grams"))
-    single = materialize(texts.join(wanted, "kind").select("kind", "low", "high", "first", "n", "text", "grams").mapInArrow(
-        cut, "kind long, low long, high long, first long, n long, start int, gram long, digest long"), "windows")
-    common = single.groupBy("gram", "digest").agg(
-        F.min("low").alias("_low"), F.max("high").alias("_high"), F.min("first").alias("_first"),
-        F.sum("n").alias("_n")).where("_low < _high")
-    return single.join(common, ["gram", "digest"]).groupBy("kind").agg(
-        F.collect_list(F.struct("start", "_first", "_n")).alias("parts")).mapInArrow(
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.char_length("text").alias("end"), F.col("gram").alias("above")))
+    pending = texts.join(kinds.select("kind", "gram"), "kind").select(*texts.columns, whole.alias("ranges"))
+    found = None
+    for size in dict.fromkeys(max(1, min_chars - less) for less in (*SLACKS, 0)):
+        with materialized(_runs(pending, size, min_chars), f"runs-{size}") as runs:
+            known = runs.groupBy("above", "gram").agg(
+                F.min("low").alias("_low"), F.max("high").alias("_high"), F.min("first").alias("_first"), F.sum("n").alias("_n"),
+                (F.min("digest") == F.max("digest")).alias("equal")).where("_low < _high").drop("_low", "_high")
+            shared = materialize(runs.select("kind", "start", "end", "above", "gram").join(known, ["above", "gram"]).select(
+                "kind", "start", "end", "gram", "_first", "_n", "equal"), f"shared-{size}")
+        own = shared.where("equal").select("kind", F.struct("start", "end", "_first", "_n").alias("part"))
+        found = own if found is None else found.union(own)
+        ranges = shared.where("NOT equal").groupBy("kind").agg(
+            F.collect_list(F.struct("start", "end", F.col("gram").alias("above"))).alias("ranges"))
+        pending = texts.join(ranges, "kind")
+    return found.groupBy("kind").agg(F.collect_list("part").alias("parts")).mapInArrow(
         join, "kind long, parts array<struct<a:int,b:int,first:long,n:long>>")
 
 
@@ -225,21 +236,22 @@ def repeated_spans(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     in the result.
 
     Where all chunks of a gram are equal, so are the rows that have any of its windows, and the chunk stands for
-    them. Of other grams, equal chunks are one kind, and the windows of the kinds are compared.
+    them. Of other grams, equal chunks are one kind, and the kinds are cut into shorter runs of windows by longer grams.
     """
     names = ["doc_id", "start", "end", "n_chunks", "rows", "first_doc_id"]
-    stored = materialize(chunks(docs, min_chars), "chunks")
     first = F.min(F.coalesce("doc_id", F.lit(_NO_ID)))
-    shared = stored.groupBy("gram").agg(
-        F.min("row").alias("_low"), F.max("row").alias("_high"), first.alias("first"),
-        F.count(F.lit(1)).alias("n"), (F.min("digest") == F.max("digest")).alias("equal")).where("_low < _high")
-    hits = materialize(stored.join(shared.drop("_low", "_high"), "gram"), "hits")
+    with materialized(chunks(docs, min_chars), "chunks") as stored:
+        shared = stored.groupBy("gram").agg(
+            F.min("row").alias("_low"), F.max("row").alias("_high"), first.alias("first"),
+            F.count(F.lit(1)).alias("n"), (F.min("digest") == F.max("digest")).alias("equal")).where("_low < _high")
+        hits = materialize(stored.join(shared.drop("_low", "_high"), "gram"), "hits")
     mixed = hits.where("NOT equal")
     kinds = materialize(mixed.groupBy("gram", "digest").agg(
         F.min("row").alias("low"), F.max("row").alias("high"), first.alias("first"), F.count(F.lit(1)).alias("n"),
         F.min(F.struct("key", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "start", "end")).alias("rep")).withColumn(
         "kind", F.monotonically_increasing_id()), "kinds")
-    found = _common_windows(materialize(_kind_texts(docs, kinds), "kind_texts"), min_chars)
+    with materialized(_kind_texts(docs, kinds), "kind_texts") as texts:
+        found = materialize(_common_parts(kinds, texts, min_chars), "parts")
     of_kind = kinds.select("gram", "digest", "kind").join(found, "kind").select("gram", "digest", "parts")
     own = F.struct(F.lit(0).alias("a"), (F.col("end") - F.col("start")).alias("b"), "first", "n")
     pieces = hits.where("equal").select("doc_id", "row", "start", F.array(own).alias("parts")).union(
@@ -282,9 +294,11 @@ def without_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     spans = repeated_spans(docs, min_chars).where("NOT first").groupBy("doc_id").agg(
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
     once = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1").select("doc_id")
-    found = docs.join(spans.join(once, "doc_id"), "doc_id", "left")
+    given = docs.columns
+    plain = docs.toDF(*[c if c in ("doc_id", "text") else f"_d{i}" for i, c in enumerate(given)])
+    found = plain.join(spans.join(once, "doc_id"), "doc_id", "left")
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("_spans")))
-    return found.withColumn("text", text).select(*docs.columns)
+    return found.withColumn("text", text).select(*plain.columns).toDF(*given)
 
 
 def query(spark, folder: str) -> DataFrame:

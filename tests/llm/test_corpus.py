@@ -214,6 +214,29 @@ def test_each_part_of_a_repeated_passage_stays_in_its_first_document(spark, docs
     left = {r.doc_id: r.text for r in chunks.without_repeats(table).collect()}
     assert left[1] == texts[1] and b[200:] in left[5] and a[300:500] not in left[5]
     assert b[300:500] not in left[6] and b[300:500] not in left[7] and a[300:500] not in left[6]
+    clash = chunks.without_repeats(table.withColumn("_spans", F.lit("x")).withColumn("_n", F.lit(2)))
+    assert clash.columns == ["doc_id", "text", "_spans", "_n"]
+    assert {r.doc_id: r.text for r in clash.collect()} == left
+
+
+def test_kinds_of_chunks_are_compared_to_the_last_window(spark, docs):
+    """Few signs and short periods: the same grams many times, in and between the texts."""
+    random = np.random.default_rng(12)
+    stock = ["".join(random.choice(list("abé"), 230)) for _ in range(6)] + ["xy" * 150, "pqr" * 90]
+    rows = [(i, "".join(stock[k][random.integers(0, 40):random.integers(150, 231)] + "".join(random.choice(list("ab"), 9))
+                        for k in random.integers(0, len(stock), 4))) for i in range(50)] + [(None, stock[0]), (50, "xy" * 400)]
+    where, expected = {}, {}
+    for row, (i, t) in enumerate(rows):
+        for k in range(len(t) - 159):
+            where.setdefault(t[k:k + 160], set()).add((row, 99 if i is None else i))
+    for i, t in rows:
+        for k in range(len(t) - 159):
+            if len(own := where[t[k:k + 160]]) > 1:
+                least = min(x for _, x in own)
+                for c in range(k, k + 160):
+                    expected[i, c] = min(expected.get((i, c), least), least)
+    spans = chunks.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(r.doc_id, c): r.first_doc_id for r in spans for c in range(r.start, r.end)} == expected
 
 
 def test_short_repeated_passages_are_found_to_the_character(spark, docs):
