@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..storage import materialize
 from .language import held_out
@@ -18,38 +18,34 @@ TREES, RATE, DEPTH = 20, 0.4, 2
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: (kind, whether it is the strict pattern of its kind, pattern). A match begins where a run begins or the match before
-#: ended, which changes no result and keeps long runs linear; nothing follows the possessive parts.
+#: ended, which changes no result and keeps long runs linear; nothing follows the possessive parts. Runs of fewer than 12
+#: digits are never a card, and no longer run begins inside them.
 GENERATORS = (
     (EMAIL, True, rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
     (IP, True, r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"),
-    (CARD, True, r"[0-9](?:[\x20-]?[0-9])++"),
+    (CARD, True, r"[0-9](?:[\x20-]?[0-9]){11,}+"),
     (PHONE, True, r"\+[0-9][\x20().0-9-]+[0-9]"),
     (EMAIL, False, r"(?<![^\s<>\"'])[^\s@<>\"']++@[^\s@<>\"']++"),
     (PHONE, False, r"(?<![0-9])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])"),
 )
 _CUES = (r"mail|contact|@", r"tel|phone|call|fax|mobil", r"card|visa|credit|konto|carte", r"\bip\b|host|server|addr",
          r"\bid\b|order|ref|number|no\.")
-_CANDIDATE = "array<struct<kind:int,strict:boolean,start:int,end:int,value:string,before:string,after:string>>"
+_MATCH = "array<struct<generator:int,number:int,gap:int,length:int,value:string,before:string,after:string>>"
+#: Spans that are cut out of a text together; the place of each is looked up in their stretch, not in the whole text.
+TOGETHER = 64
 
 
-def _located(text: Column, kind: int, strict: bool, pattern: str) -> Column:
-    """The matches with their places and the 32 characters before and the one after."""
+def _matches(text: Column, generator: int) -> Column:
+    """Per match: its number, the characters since the match before, its own, the 32 characters before and the one after."""
+    pattern = GENERATORS[generator][2]
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    sizes = F.zip_with(gaps, whole, lambda g, w: F.struct(F.char_length(g).alias("g"), F.char_length(w).alias("w")))
-    starts = F.aggregate(
-        F.filter(sizes, lambda s: s["w"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda a, s: F.struct((a["at"] + s["g"] + s["w"]).alias("at"),
-                              F.concat(a["out"], F.array(a["at"] + s["g"])).alias("out")),
-        lambda a: a["out"])
-    rows = F.arrays_zip(whole.alias("value"), starts.alias("start"), gaps.alias("before"),
-                        F.slice(gaps, 2, 2 ** 31 - 1).alias("after"))
-    found = F.transform(F.filter(rows, lambda r: r["value"].isNotNull()), lambda r: F.struct(
-        F.lit(kind).alias("kind"), F.lit(strict).alias("strict"), r["start"].alias("start"),
-        (r["start"] + F.char_length(r["value"])).alias("end"), r["value"].alias("value"),
+    rows = F.arrays_zip(whole.alias("value"), gaps.alias("before"), F.slice(gaps, 2, 2 ** 31 - 1).alias("after"))
+    found = F.transform(F.filter(rows, lambda r: r["value"].isNotNull()), lambda r, i: F.struct(
+        F.lit(generator).alias("generator"), i.alias("number"), F.char_length(r["before"]).alias("gap"),
+        F.char_length(r["value"]).alias("length"), r["value"].alias("value"),
         F.substring(r["before"], -32, 32).alias("before"), F.substring(r["after"], 1, 1).alias("after")))
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_CANDIDATE))
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_MATCH))
 
 
 def _digits(value: Column) -> Column:
@@ -77,19 +73,6 @@ def _valid(c: Column) -> Column:
         .otherwise(n.between(9, 15)))
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, the valid ``base`` spans and all ``candidates`` of every row; no text."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", *_spans(text))
-
-
-def _spans(text: Column) -> list[Column]:
-    found = F.concat(*[_located(text, *g) for g in GENERATORS])
-    kept = F.filter(found, lambda c: (c["kind"] != CARD) | F.length(_digits(c["value"])).between(12, 19))
-    base = F.transform(F.filter(kept, _valid), lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
-    return [base.alias("base"), kept.alias("candidates")]
-
-
 FEATURES = ("kind", "size", "signs", "form", "cue", "before", "after")
 #: Numbers of values of each feature, so that at most their product of cells can occur.
 VALUES = (4, 8, 4, 8, 6, 4, 4)
@@ -117,15 +100,37 @@ def _features(c: Column) -> list[Column]:
     ]
 
 
-def _overlap(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+def candidates(texts: DataFrame) -> DataFrame:
+    """One row per candidate of ``row``, ``doc_id`` and ``text``: row, doc_id, kind, start, end, whether it is a ``base`` span,
+    whether a base span of its kind (``same``) or of any kind (``taken``) overlaps it, and its features. A row without any
+    has one with the kind NULL; the text is left out.
 
-
-def _apart_from_base(found: Column, base: Column, same_kind: bool) -> Column:
-    """Candidates as (candidate, whether a base span overlaps it)."""
-    rows = F.zip_with(found, F.array_repeat(base, F.size(found)), lambda c, b: F.struct(
-        c.alias("c"), F.exists(b, lambda s: _overlap(s, c) & ((s["kind"] == c["kind"]) if same_kind else F.lit(True))).alias("hit")))
-    return rows
+    Places are running sums over the matches of a pattern, and overlaps come from sweeping over the sorted candidates in
+    either direction: a base span overlaps if one that begins no later ends after the start, or one that begins no earlier does so
+    before the end. So the work on a text follows the number of its candidates.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = F.concat(*[_matches(text, number) for number in range(len(GENERATORS))])
+    rows = texts.select("row", "doc_id", found.alias("found")).select("row", "doc_id", F.explode_outer("found").alias("c"))
+    pick = lambda of: F.get(F.array(*[F.lit(g[of]) for g in GENERATORS]), F.col("c.generator"))
+    rows = rows.select("row", "doc_id", F.struct(
+        pick(0).alias("kind"), pick(1).alias("strict"), "c.*").alias("c"))
+    c = F.col("c")
+    few = (c["kind"] == CARD) & (F.length(_digits(c["value"])) > 19)
+    features = _features(c)[1:]
+    rows = rows.select("row", "doc_id", "c.kind", "c.generator", "c.number", "c.gap", "c.length", few.alias("few"),
+                       F.coalesce(_valid(c), F.lit(False)).alias("base"), *features).repartition("row")
+    so_far = W.partitionBy("row", "generator").orderBy("number")
+    end = F.sum(F.col("gap") + F.col("length")).over(so_far).cast("int")
+    rows = rows.withColumn("end", end).withColumn("start", F.col("end") - F.col("length"))
+    rows = rows.withColumn("kind", F.when(~F.col("few"), F.col("kind"))).drop("generator", "number", "gap", "length", "few")
+
+    def overlapped(*by: str) -> Column:
+        begun = F.max(F.when(F.col("base"), F.col("end"))).over(W.partitionBy(*by).orderBy("start"))
+        to_come = F.min(F.when(F.col("base"), F.col("start"))).over(W.partitionBy(*by).orderBy(F.desc("start")))
+        return F.coalesce(begun > F.col("start"), F.lit(False)) | F.coalesce(to_come < F.col("end"), F.lit(False))
+
+    return rows.withColumn("same", overlapped("row", "kind")).withColumn("taken", overlapped("row"))
 
 
 class Trees:
@@ -206,29 +211,21 @@ def train(found: DataFrame) -> Trees:
     where the strict rules are met, and find what looks the same but misses a rule. Documents of which
     ``held_out`` holds only calibrate the thresholds; without enough of them nothing is added to the base.
     """
-    rows = found.select(
-        held_out(F.col("doc_id")).alias("held"),
-        F.explode(_apart_from_base(F.col("candidates"), F.col("base"), True)).alias("x"))
-    cells = rows.select("held", F.col("x.hit").cast("int").alias("hit"), *_features(F.col("x.c")))
-    sums = cells.groupBy("held", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hits")).collect()
+    cells = found.where("kind IS NOT NULL").withColumn("held", held_out(F.col("doc_id")))
+    sums = cells.groupBy("held", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.count_if("same").alias("hits")).collect()
     sums = sorted(tuple(r) for r in sums)
     table = np.array(sums, np.int64).reshape(-1, len(FEATURES) + 3)
     held, x, n, hits = table[:, 0] == 1, table[:, 1:-2], table[:, -2].astype(float), table[:, -1].astype(float)
     return Trees().fit(x[~held], n[~held], hits[~held]).calibrate(x[held], n[held], hits[held])
 
 
-def _judged(trees: Trees, base: Column, found: Column) -> Column:
-    """Base spans and the candidates beside them that the trees select, as sorted (start, kind, end)."""
-    def selected(x: Column) -> Column:
-        features = _features(x["c"])
-        limit = F.lit(math.inf)
-        for kind, value in enumerate(trees.thresholds):
-            limit = F.when(x["c"]["kind"] == kind, F.lit(value)).otherwise(limit)
-        return ~x["hit"] & (trees.column(features) >= limit)
-
-    extra = F.transform(F.filter(_apart_from_base(found, base, False), selected), lambda x: F.struct(
-        x["c"]["start"].alias("start"), x["c"]["kind"].alias("kind"), x["c"]["end"].alias("end")))
-    return F.array_sort(F.array_distinct(F.concat(base, extra)))
+def _shown(trees: Trees) -> Column:
+    """Whether a candidate is a base span, or lies beside them and the trees select it."""
+    limit = F.lit(math.inf)
+    for kind, value in enumerate(trees.thresholds):
+        limit = F.when(F.col("kind") == kind, F.lit(value)).otherwise(limit)
+    chosen = ~F.col("taken") & (trees.column([F.col(f) for f in FEATURES]) >= limit)
+    return F.col("kind").isNotNull() & (F.col("base") | chosen)
 
 
 def personal_spans(docs: DataFrame) -> DataFrame:
@@ -236,31 +233,63 @@ def personal_spans(docs: DataFrame) -> DataFrame:
 
     Base spans are the strict patterns with valid contents; the trees add candidates that overlap none of them.
     Positions are characters, ends exclusive; kinds are numbers into ``KINDS``. NULL and empty texts have no spans, repeated
-    rows and ids stay rows of their own, other columns are not read. The candidates are stored once, without texts.
+    rows and ids stay rows of their own, other columns are not read. Time grows with the length of a text and the number of
+    its candidates. The candidates are stored once, without texts.
     """
-    stored = materialize(candidates(docs), "candidates")
-    trees = train(stored)
-    return stored.select("doc_id", F.array_sort("base").alias("base"),
-                         _judged(trees, F.col("base"), F.col("candidates")).alias("spans"))
+    found = materialize(candidates(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")), "candidates")
+    span = F.struct("start", "kind", "end")
+    return found.withColumn("shown", _shown(train(found))).groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.when(F.col("base"), span))).alias("base"),
+        F.array_sort(F.collect_set(F.when(F.col("shown"), span))).alias("spans")).drop("row")
+
+
+def _replaced(text: Column, spans: Column) -> Column:
+    """``text`` with each of the sorted, disjoint spans replaced by its kind in brackets."""
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    end_before = lambda of, i, otherwise: F.when(i == 0, otherwise).otherwise(F.get(of, i - 1)["end"])
+    last = F.floor((F.size(spans) - 1) / TOGETHER).cast("int")
+    groups = F.transform(F.sequence(F.lit(0), last), lambda g: F.struct(
+        F.slice(spans, g * TOGETHER + 1, TOGETHER).alias("of"),
+        end_before(spans, g * TOGETHER, F.lit(0)).alias("low")))
+    parts = F.transform(groups, lambda g: F.struct(g["of"].alias("of"), g["low"].alias("low"), F.substring(
+        text, g["low"] + 1, F.element_at(g["of"], -1)["end"] - g["low"]).alias("text")))
+
+    def short(p: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            low = end_before(p["of"], i, p["low"])
+            return F.concat(F.substring(p["text"], low - p["low"] + 1, s["start"] - low), F.get(names, s["kind"]))
+
+        return F.array_join(F.transform(p["of"], piece), "")
+
+    rest = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.lit(2 ** 31 - 1))
+    return F.concat(F.array_join(F.transform(parts, short), ""), rest)
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets (overlapping ones by that of the first) and n_chars set anew."""
-    trees = train(materialize(candidates(docs), "candidates"))
+    """``docs`` with every span replaced by its kind in brackets (overlapping ones by that of the first) and n_chars set anew.
+
+    Nulls, repeated rows and other columns as in :func:`personal_spans`; rows without a span stay as they are. The documents
+    are stored once with a number, so that patterns run once and spans find their rows again.
+    """
     given = docs.columns
-    inner = docs.toDF(*[f"_c{i}" for i in range(len(given))])
-    text = F.col(f"_c{given.index('text')}")
-    base, found = _spans(F.coalesce(text, F.lit("")))
-    spans = _judged(trees, base, found)
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    step = lambda a, s: F.when(s["start"] < a["at"], F.struct(
-        F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(F.struct(
-            s["end"].alias("at"),
-            F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.get(names, s["kind"])).alias("out")))
-    clean = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.lit(2 ** 31 - 1))))
-    suspect = text.rlike(r"[0-9@]")
-    out = inner.withColumn(f"_c{given.index('text')}", F.when(suspect, clean).otherwise(text)).toDF(*given)
+    text, of = f"_c{given.index('text')}", f"_c{given.index('doc_id')}"
+    stored = materialize(docs.toDF(*[f"_c{i}" for i in range(len(given))]).withColumns(
+        {"row": F.monotonically_increasing_id(), "suspect": F.coalesce(F.col(text).rlike("[0-9@]"), F.lit(False))}), "numbered")
+    suspects = stored.where("suspect")
+    found = materialize(candidates(suspects.select("row", F.col(of).alias("doc_id"), F.col(text).alias("text"))), "candidates")
+    span = F.struct("start", "kind", "end")
+    order = W.partitionBy("row").orderBy("start", "kind", "end")
+    reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    merged = found.where(_shown(train(found))).select("row", span.alias("span"), "start", "kind", "end").withColumn(
+        "island", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int")).withColumn(
+        "island", F.sum("island").over(order.rowsBetween(W.unboundedPreceding, 0))).groupBy("row", "island").agg(
+        F.min("span").alias("first"), F.max("end").alias("end"))
+    spans = merged.groupBy("row").agg(F.array_sort(F.collect_list(
+        F.struct("first.start", "first.kind", "end"))).alias("spans"))
+    clean = suspects.join(spans, "row", "left").withColumn(
+        text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(_replaced(F.col(text), F.col("spans"))))
+    columns = [f"_c{i}" for i in range(len(given))]
+    out = clean.select(*columns).union(stored.where("NOT suspect").select(*columns)).toDF(*given)
     if "n_chars" in given:
         out = out.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
     return out

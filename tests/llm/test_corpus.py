@@ -197,6 +197,82 @@ def test_personal_data(docs, empty):
     assert private.personal_spans(empty).count() == 0
 
 
+def _luhn(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def _plain_base(text):
+    """The base spans as the contract words them."""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+              if all(int(x) <= 255 for x in m[0].split("."))]
+    for kind, pattern in ((2, r"[0-9]([\x20-]?[0-9])+"), (3, r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if 9 <= len(digits) <= 15 if kind == 3 else 12 <= len(digits) <= 19 and _luhn(digits):
+                found.append((m.start(), kind, m.end()))
+    return sorted(found)
+
+
+def _noisy_texts():
+    random = np.random.default_rng(21)
+    parts = ["a.b@c.de", "x@y", "@", ".", "10.0.0.7", "1.2.3.4", "256.1.1.1", "4539 1488 0343 6467", "4539148803436467", "+1 (437) 555-0689",
+             "+49.30.123456", "030-1234-5678", " ", "-", "é", "\U0001f600", "tel ", "card: ", "7", "12", "mail ", "\n", "00"]
+    return ["".join(random.choice(parts, random.integers(0, 14))) for _ in range(1500)]
+
+
+def test_personal_data_equals_plain_patterns_and_redacts_what_it_shows(spark):
+    texts = _noisy_texts()
+    table = spark.createDataFrame([(i, t, "z") for i, t in enumerate(texts)], "doc_id long, text string, spans string").repartition(4)
+    rows = {r.doc_id: r for r in private.personal_spans(table).collect()}
+    added = 0
+    for i, t in enumerate(texts):
+        base, spans = ([tuple(s) for s in x] for x in (rows[i].base, rows[i].spans))
+        assert base == _plain_base(t) and set(base) <= set(spans) and spans == sorted(set(spans))
+        extra = set(spans) - set(base)
+        assert not any(a < d and c < b for a, _, b in extra for c, _, d in base)
+        added += len(extra)
+    assert {k for r in rows.values() for _, k, _ in r.base} == {0, 1, 2, 3} and added
+    clean = private.redacted(table)
+    assert clean.columns == table.columns
+    for r in clean.collect():
+        merged = []
+        for a, kind, b in rows[r.doc_id].spans:
+            if merged and a < merged[-1][2]:
+                merged[-1][2] = max(b, merged[-1][2])
+            else:
+                merged.append([a, kind, b])
+        text, at = "", 0
+        for a, kind, b in merged:
+            text, at = text + texts[r.doc_id][at:a] + f"[{private.KINDS[kind].upper()}]", b
+        assert r.text == text + texts[r.doc_id][at:] and r.spans == "z"
+
+
+def test_trees_learn_a_form_and_keep_to_the_threshold():
+    cells = np.array([(3, size, 2, 0, cue, 0, 0) for size in range(8) for cue in (0, 2)])
+    n = np.full(len(cells), 500.0)
+    share = np.where(cells[:, 1] >= 3, np.where(cells[:, 4] == 2, 0.99, 0.6), 0.02)
+    trees = private.Trees().fit(cells, n, np.round(n * share)).calibrate(cells, n, np.round(n * share))
+    scores = trees.score(cells)
+    assert np.abs(1 / (1 + np.exp(-scores)) - share).max() < 0.1
+    chosen = scores >= trees.thresholds[3]
+    assert (n * share)[chosen].sum() / n[chosen].sum() >= private.PRECISION - 0.01 and chosen[share > 0.9].all()
+    assert not np.isfinite(trees.thresholds[0]) and not chosen[share < 0.1].any()
+
+
+def test_a_long_list_of_addresses_takes_seconds(spark):
+    import time
+
+    n = 40_000
+    text = "".join(f"name{i}@example.org, " for i in range(n))
+    table = spark.createDataFrame([(i, text if i == 1 else f"x{i}@example.org") for i in range(30)], "doc_id long, text string")
+    start = time.monotonic()
+    assert {r.doc_id: r.n for r in private.personal_spans(table).select("doc_id", F.size("base").alias("n")).collect()}[1] == n
+    clean = private.redacted(table).where("doc_id = 1").first().text
+    assert clean == "[EMAIL], " * n and time.monotonic() - start < 60
+
+
 def test_repeated_passages(docs, empty):
     spans = chunks.repeated_spans(docs).collect()
     assert {11, 12, 13, 14} <= {r.doc_id for r in spans} and not {15, 17, 19} & {r.doc_id for r in spans}
