@@ -17,6 +17,7 @@ from .text import blocks, mix, powers
 CAPACITY = 4096
 END_ID = 1
 SLICES = 64
+PER_SLICE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 KNOWN_UNITS = 2_000_000
 
@@ -266,17 +267,19 @@ def placed(pieces: DataFrame, capacity: int = CAPACITY, slices: int = SLICES) ->
 
     Only the number of pieces of each length (``capacity`` rows) reaches the driver, and only the
     runs that follow from it go back. Each piece finds its run by its rank among all pieces of its
-    length; a hot length is ranked in ``slices`` parts.
+    length; a hot length is ranked in ``slices`` parts, and in more where there are more than ``PER_SLICE`` pieces for each.
+    Rows that share an id or have none are told apart by their ids' checksum.
     """
     spark = pieces.sparkSession
-    piece = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(slices)).alias("_slice")
+    slices = max(slices, -(-pieces.count() // PER_SLICE))
+    piece = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(slices)).alias("_slice")
     cells = pieces.groupBy("length", piece).agg(F.count(F.lit(1)).alias("_n"))
     counts = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     plan = best_fit_decreasing(counts, capacity)
     runs = spark.createDataFrame(plan, "length long, _first long, _count long, _sequence long, _offset long, _each long")
     before = F.sum("_n").over(W.partitionBy("length").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1))
     cells = cells.select("length", "_slice", F.coalesce(before, F.lit(0)).alias("_before"))
-    row = F.row_number().over(W.partitionBy("length", "_slice").orderBy("doc_id", "piece"))
+    row = F.row_number().over(W.partitionBy("length", "_slice").orderBy("doc_id", "piece", "ids_crc32"))
     ranked = pieces.withColumn("_slice", piece).withColumn("_row", row).join(cells, ["length", "_slice"])
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_row") - 1)
     inside = ranked["_rank"] - runs["_first"]
