@@ -1,4 +1,4 @@
-"""Near duplicates by ProbMinHash over sets of word shingles, banding and exact verification."""
+"""Near duplicates by ProbMinHash over weighted word shingles, banding and exact verification."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..storage import materialize
 from .graph import components
@@ -53,30 +53,50 @@ def prob_min_hash(elements: np.ndarray, weights: np.ndarray, registers: int = RE
     return winner
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
-    """Each text's distinct shingles."""
+def probability_jaccard(x: np.ndarray, x_weights: np.ndarray, y: np.ndarray, y_weights: np.ndarray) -> float:
+    """The probability Jaccard similarity of two sets of distinct, ascending elements with weights.
+
+    An element of both adds 1 / sum over all elements of max(x weight / its x weight, y weight / its y weight). The larger one
+    follows from the order of the ratios of weights, so running sums by ratio give all those sums at once. With equal
+    weights it is the Jaccard similarity; multiplying all weights of a side changes nothing.
+    """
+    _, at, to = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    if not len(at):
+        return 0.0
+    a, b = x_weights[at].astype(float), y_weights[to].astype(float)
+    order = np.argsort(a / b, kind="stable")
+    a, b = a[order], b[order]
+    # An element's own ratio decides: those with a larger one count by x, the others by y (equal ratios are equal either way).
+    only_x, only_y = x_weights.sum() - a.sum(), y_weights.sum() - b.sum()
+    larger = a.sum() - np.cumsum(a)
+    return float((1.0 / ((only_x + larger) / a + (only_y + np.cumsum(b)) / b)).sum())
+
+
+def shingle_counts(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE_WORDS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each text's distinct shingles, ascending, and how often they occur."""
     _, _, hashes, of_text = words(data, offsets, LETTERS)
     for low, high in zip(of_text[:-1], of_text[1:]):
-        yield np.unique(shingles(hashes[low:high], n))
+        yield np.unique(shingles(hashes[low:high], n), return_counts=True)
 
 
 def _digest(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """Per text (doc_id, digest, text): band keys.
+def signatures(docs: DataFrame, counted: bool) -> DataFrame:
+    """Per text (doc_id, digest): band keys.
 
-    All shingles weigh the same, so that two texts agree in a register with the Jaccard similarity that is verified.
+    Shingles weigh what they weigh in the verification, so that two texts agree in a register with the similarity
+    that is verified.
     """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks(batches, "lowered"):
             keys = []
-            for found in shingle_sets(data, offsets):
+            for found, n in shingle_counts(data, offsets):
                 if not len(found):
                     keys.append(np.zeros(0, np.int64))
                     continue
-                winner = prob_min_hash(found, np.ones(len(found)))
+                winner = prob_min_hash(found, n.astype(float) if counted else np.ones(len(found)))
                 with np.errstate(over="ignore"):
                     band = (winner.reshape(BANDS, ROWS) * _ROW).sum(1, dtype=np.uint64) + _BAND
                 keys.append(mix(band).view(np.int64))
@@ -88,48 +108,90 @@ def signatures(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(sign, "doc_id long, digest binary, keys array<long>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the wanted nodes (node, digest, doc_id)."""
+def _sets(docs: DataFrame, wanted: DataFrame, counted: bool) -> DataFrame:
+    """(node, shingles, weights) of the wanted nodes (node, digest, doc_id)."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks(batches, "lowered"):
-            found = [s.view(np.int64) for s in shingle_sets(data, offsets)]
+            found = list(shingle_counts(data, offsets))
+            order = [np.argsort(s.view(np.int64)) for s, _ in found]
+            keys = [s.view(np.int64)[o] for (s, _), o in zip(found, order)]
+            weights = [n[o] if counted else np.ones(len(n), np.int64) for (_, n), o in zip(found, order)]
             yield pa.RecordBatch.from_arrays(
-                [part["node"], pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
+                [part["node"], pa.array(keys, pa.list_(pa.int64())), pa.array(weights, pa.list_(pa.int64()))],
+                ["node", "shingles", "weights"])
 
     texts = docs.where("text IS NOT NULL").select(
         _digest(F.col("text")).alias("digest"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("_id"),
         F.lower("text").alias("lowered"))
     named = wanted.select("node", "digest", F.coalesce("doc_id", F.lit(-1)).alias("_id"))
-    return texts.join(named, ["digest", "_id"]).select("node", "lowered").mapInArrow(
-        sets, "node long, shingles array<long>")
+    found = texts.join(named, ["digest", "_id"]).select("node", "lowered").mapInArrow(
+        sets, "node long, shingles array<long>, weights array<long>")
+    return found.dropDuplicates(["node"])  # rows that repeat an id and a text
+
+
+def _salts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _with_set(pairs: DataFrame, sets: DataFrame, name: str, other: str) -> DataFrame:
+    """The pairs with the shingles and weights of ``name`` beside them.
+
+    A text with many partners, as the hub of a large group, is dealt over as many tasks as there are partitions, by its
+    partner; its set goes to those tasks that have one of its pairs.
+    """
+    salted = pairs.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(_salts(pairs))))
+    places = salted.select(name, "_salt").distinct()
+    dealt = places.join(sets.select(F.col("node").alias(name), F.col("shingles").alias(f"_{name}"),
+                                    F.col("weights").alias(f"_{name}w")), name)
+    return salted.join(dealt, [name, "_salt"]).drop("_salt")
+
+
+def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the probability Jaccard similarity of their shingles; stored."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, xw, y, yw = (batch[c] for c in ("_a", "_aw", "_b", "_bw"))
+            found = [probability_jaccard(*(c[i].values.to_numpy() for c in (x, xw, y, yw))) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays(
+                [batch["a"], batch["b"], pa.array(found, pa.float64())], ["a", "b", "similarity"])
+
+    both = _with_set(_with_set(pairs, sets, "a", "b"), sets, "b", "a")
+    return materialize(both.mapInArrow(compare, "a long, b long, similarity double"), "verified")
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the Jaccard similarity of their shingle sets; stored.
+def _prefix_pairs(sets: DataFrame, placed: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes (node, component) of unlike components that have a shingle of both prefixes; none that is similar lacks.
 
-    Also a's number of shingles, those that b lacks and how many of b's it lacks.
+    Weights that add up to 1 a text have at least the probability Jaccard similarity in common. With all
+    shingles in one order, rare ones first, the common weight of two texts lies behind their first common shingle in both of them. So
+    that one is in the prefix: the shingles that have ``similarity`` of the weight from them on. What a
+    template shares is frequent and stays out of the prefixes as long as texts have own shingles of more than the rest.
     """
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = materialize(_sets(docs, nodes.select("node", "digest", "doc_id").join(wanted, "node")), "shingle_sets")
-    sets = sets.dropDuplicates(["node"])  # rows that repeat an id and a text
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
-    both = F.size(F.array_intersect("_a", "_b"))
-    similarity = both / (F.size("_a") + F.size("_b") - both)
-    found = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", similarity.alias("similarity"), F.size("_a").alias("size"),
-        F.array_except("_a", "_b").alias("added"), (F.size("_b") - both).alias("lost"))
-    return materialize(found, "verified")
-
-
-def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    each = placed.join(sets, "node").select("node", "component", F.explode(F.arrays_zip("shingles", "weights")).alias("_s"))
+    each = each.select("node", "component", F.col("_s.shingles").alias("shingle"), F.col("_s.weights").alias("weight"),
+                       F.pmod(F.xxhash64("node"), F.lit(_salts(sets))).alias("_salt"))
+    each = materialize(each, "shingles")
+    dealt = each.groupBy("shingle", "_salt").agg(F.count(F.lit(1)).alias("n"))  # frequent shingles are dealt over tasks
+    texts = dealt.groupBy("shingle").agg(F.sum("n").alias("texts")).where("texts > 1")
+    known = dealt.select("shingle", "_salt").join(texts, "shingle")
+    ranked = each.join(known, ["shingle", "_salt"], "left").withColumn("texts", F.coalesce("texts", F.lit(1)))
+    text = W.partitionBy("node")
+    onward = F.sum("weight").over(text.orderBy(F.desc("texts"), F.desc("shingle")).rowsBetween(W.unboundedPreceding, 0))
+    prefix = ranked.select("node", "component", "shingle", "texts", onward.alias("onward"), F.sum("weight").over(text).alias("whole"))
+    prefix = materialize(prefix.where((F.col("onward") >= F.col("whole") * (similarity - 1e-9)) & (F.col("texts") > 1)).select(
+        "node", "component", "shingle"), "prefixes")
+    x, y = prefix.alias("x"), prefix.alias("y")
+    cross = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")))
+    return cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY,
+               counted: bool = False) -> tuple[DataFrame, DataFrame]:
     """Links (a, b, similarity) that connect all similar texts, and the components they make.
 
     In each bucket of a band all texts are compared with its hub, the one with the most company in all its
-    buckets. Texts that this connects need no further comparison. Of the others in a bucket, two can be similar only if
-    their shingles differ little, of which their differences from the hub tell enough: what one of them
-    added and the other did not is a difference, and so is the surplus of shingles lost. Only pairs within that bound
-    are compared.
+    buckets. Texts that this connects need no further comparison. Of the others, those with a common shingle in their
+    prefixes are compared.
     """
     buckets = nodes.select("node", F.explode("keys").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -138,48 +200,40 @@ def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
     top = F.max(F.struct("company", (-F.col("node")).alias("least")))
     hubs = active.join(company, "node").groupBy("key").agg((-top["least"]).alias("hub"))
     members = materialize(active.select("key", "node").join(hubs, "key"), "members")
+    wanted = members.select("node").distinct()
+    sets = materialize(_sets(docs, nodes.select("node", "digest", "doc_id").join(wanted, "node"), counted), "shingle_sets")
     pairs = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    first = _verified(docs, nodes, materialize(pairs, "pairs"))
+    first = _verified(sets, materialize(pairs, "pairs"))
     close = first.where(F.col("similarity") >= similarity)
     joined = components(close)
 
-    compared = first.withColumnsRenamed({"a": "node", "b": "hub"})
     placed = members.join(joined, "node", "left").select(
         "key", "node", "hub", F.coalesce("component", "node").alias("component"))
-    apart = placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where(
-        "_low < _high").select("key")
-    rest = placed.where("node <> hub").join(apart, "key").join(
-        compared.select("node", "hub", "size", "added", "lost"), ["node", "hub"])
-    rest = materialize(rest, "apart")
-    x, y = rest.alias("x"), rest.alias("y")
-    allowed = (F.col("x.size") + F.col("y.size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
-    least = F.size("x.added") + F.size("y.added") + F.abs(F.col("x.lost") - F.col("y.lost"))
-    common = F.size(F.array_intersect("x.added", "y.added"))
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-                   & ((least <= allowed) | (least - 2 * common <= allowed)))
-    cross = cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    second = _verified(docs, nodes, materialize(cross, "pairs"))
-    links = close.select("a", "b", "similarity").union(
-        second.where(F.col("similarity") >= similarity).select("a", "b", "similarity"))
+    apart = placed.where("node <> hub").groupBy("key").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high").select("key")
+    rest = materialize(placed.where("node <> hub").join(apart, "key").select("node", "component").distinct(), "apart")
+    second = _verified(sets, materialize(_prefix_pairs(sets, rest, similarity), "pairs"))
+    links = close.union(second.where(F.col("similarity") >= similarity))
     return links, components(links)
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, counted: bool = False) -> DataFrame:
     """The near-duplicate class of every row: doc_id, digest, class_id, class_size, representative.
 
-    Equal texts are one class from the start; texts whose sets of five-word shingles (runs of letters and
-    digits in lower case; a shorter text is one shingle) have a Jaccard similarity of ``similarity`` or
-    more are linked, and classes are what the links connect. ``class_id`` is the smallest doc_id of a class (NULL if
+    Equal texts are one class from the start; texts whose five-word shingles (runs of letters and
+    digits in lower case; a shorter text is one shingle) have a probability Jaccard similarity of ``similarity`` or
+    more are linked, and classes are what the links connect. A shingle weighs as often as it occurs if they are ``counted``,
+    else 1, which makes it the Jaccard similarity of the sets. ``class_id`` is the smallest doc_id of a class (NULL if
     it has none), ``class_size`` its rows, ``representative`` whether a row has that id and its text.
     A NULL text is a class of its own; texts without a word are like equal texts only. Rows that repeat an id
     and a text are equal texts.
     """
-    signed = materialize(signatures(docs), "signatures")
+    signed = materialize(signatures(docs, counted), "signatures")
     nodes = signed.groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"),
         F.first("keys").alias("keys"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    _, joined = near_links(docs, nodes, similarity)
+    _, joined = near_links(docs, nodes, similarity, counted)
     named = nodes.select("node", "digest", "doc_id", "rows").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "node"))
@@ -196,9 +250,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return rows.union(alone)
 
 
-def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, counted: bool = False) -> DataFrame:
     """One row of each class, with the columns of ``docs``; rows without a text all stay."""
-    kept = classes(docs, similarity).where("representative AND digest IS NOT NULL").select(
+    kept = classes(docs, similarity, counted).where("representative AND digest IS NOT NULL").select(
         F.col("digest").alias("_digest"), F.coalesce("doc_id", F.lit(-1)).alias("_key")).distinct()
     given = docs.columns
     inner = docs.toDF(*[f"_c{i}" for i in range(len(given))])
@@ -209,4 +263,4 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 
 def query(spark, folder: str) -> DataFrame:
-    return classes(spark.read.parquet(f"{folder}/documents.parquet")).drop("digest")
+    return classes(spark.read.parquet(f"{folder}/documents.parquet"), counted=True).drop("digest")
