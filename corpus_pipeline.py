@@ -27,9 +27,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays: the one with the smallest id."""
+    """One document of each class stays, the one with the smallest id; shingles weigh as often as they occur."""
     ship(spark)
-    return near.deduplicated(docs)
+    return near.deduplicated(docs, counted=True)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
