@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..storage import materialize
 from .graph import components
@@ -147,42 +147,28 @@ def _with_set(pairs: DataFrame, sets: DataFrame, name: str, other: str) -> DataF
 
 
 def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the probability Jaccard similarity of their shingles; stored."""
+    """Pairs (a, b) with the probability Jaccard similarity of their shingles; stored.
+
+    Also a's weight in all, a's shingles that b lacks (added) and b's that it lacks (lost).
+    """
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, xw, y, yw = (batch[c] for c in ("_a", "_aw", "_b", "_bw"))
-            found = [probability_jaccard(*(c[i].values.to_numpy() for c in (x, xw, y, yw))) for i in range(batch.num_rows)]
+            found, whole, added, lost = [], [], [], []
+            for i in range(batch.num_rows):
+                a, aw, b, bw = (c[i].values.to_numpy() for c in (x, xw, y, yw))
+                found.append(probability_jaccard(a, aw, b, bw))
+                whole.append(int(aw.sum()))
+                added.append(np.setdiff1d(a, b, assume_unique=True))
+                lost.append(np.setdiff1d(b, a, assume_unique=True))
+            keys = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch["a"], batch["b"], pa.array(found, pa.float64())], ["a", "b", "similarity"])
+                [batch["a"], batch["b"], pa.array(found, pa.float64()), pa.array(whole, pa.int64()),
+                 pa.array(added, keys), pa.array(lost, keys)], ["a", "b", "similarity", "whole", "added", "lost"])
 
     both = _with_set(_with_set(pairs, sets, "a", "b"), sets, "b", "a")
-    return materialize(both.mapInArrow(compare, "a long, b long, similarity double"), "verified")
-
-
-def _prefix_pairs(sets: DataFrame, placed: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes (node, component) of unlike components that have a shingle of both prefixes; none that is similar lacks.
-
-    Weights that add up to 1 a text have at least the probability Jaccard similarity in common. With all
-    shingles in one order, rare ones first, the common weight of two texts lies behind their first common shingle in both of them. So
-    that one is in the prefix: the shingles that have ``similarity`` of the weight from them on. What a
-    template shares is frequent and stays out of the prefixes as long as texts have own shingles of more than the rest.
-    """
-    each = placed.join(sets, "node").select("node", "component", F.explode(F.arrays_zip("shingles", "weights")).alias("_s"))
-    each = each.select("node", "component", F.col("_s.shingles").alias("shingle"), F.col("_s.weights").alias("weight"),
-                       F.pmod(F.xxhash64("node"), F.lit(_salts(sets))).alias("_salt"))
-    each = materialize(each, "shingles")
-    dealt = each.groupBy("shingle", "_salt").agg(F.count(F.lit(1)).alias("n"))  # frequent shingles are dealt over tasks
-    texts = dealt.groupBy("shingle").agg(F.sum("n").alias("texts")).where("texts > 1")
-    known = dealt.select("shingle", "_salt").join(texts, "shingle")
-    ranked = each.join(known, ["shingle", "_salt"], "left").withColumn("texts", F.coalesce("texts", F.lit(1)))
-    text = W.partitionBy("node")
-    onward = F.sum("weight").over(text.orderBy(F.desc("texts"), F.desc("shingle")).rowsBetween(W.unboundedPreceding, 0))
-    prefix = ranked.select("node", "component", "shingle", "texts", onward.alias("onward"), F.sum("weight").over(text).alias("whole"))
-    prefix = materialize(prefix.where((F.col("onward") >= F.col("whole") * (similarity - 1e-9)) & (F.col("texts") > 1)).select(
-        "node", "component", "shingle"), "prefixes")
-    x, y = prefix.alias("x"), prefix.alias("y")
-    cross = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")))
-    return cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return materialize(both.mapInArrow(
+        compare, "a long, b long, similarity double, whole long, added array<long>, lost array<long>"), "verified")
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY,
@@ -190,8 +176,10 @@ def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
     """Links (a, b, similarity) that connect all similar texts, and the components they make.
 
     In each bucket of a band all texts are compared with its hub, the one with the most company in all its
-    buckets. Texts that this connects need no further comparison. Of the others, those with a common shingle in their
-    prefixes are compared.
+    buckets. Texts that this connects need no further comparison. Of the others in a bucket, two can be similar only if at
+    most 1 - ``similarity`` of each one's weight lies on shingles that the other lacks, since weights that add up to 1 have at
+    least the probability Jaccard similarity in common. Such shingles are what one added to the hub's and the other did
+    not, and what the other lost of the hub's; each weighs 1 or more. Only pairs within that bound are compared.
     """
     buckets = nodes.select("node", F.explode("keys").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -211,9 +199,23 @@ def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
         "key", "node", "hub", F.coalesce("component", "node").alias("component"))
     apart = placed.where("node <> hub").groupBy("key").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high").select("key")
-    rest = materialize(placed.where("node <> hub").join(apart, "key").select("node", "component").distinct(), "apart")
-    second = _verified(sets, materialize(_prefix_pairs(sets, rest, similarity), "pairs"))
-    links = close.union(second.where(F.col("similarity") >= similarity))
+    compared = first.withColumnsRenamed({"a": "node", "b": "hub"}).drop("similarity")
+    rest = placed.where("node <> hub").join(apart, "key").join(compared, ["node", "hub"])
+    rest = materialize(rest, "apart")
+    x, y = rest.alias("x"), rest.alias("y")
+
+    def within(one: str, other: str) -> Column:
+        own, gone = (F.col(f"{one}.added"), F.col(f"{other}.added")), (F.col(f"{other}.lost"), F.col(f"{one}.lost"))
+        most = F.col(f"{one}.whole") * (1 - similarity) + 1e-6
+        fewest = F.greatest(F.size(own[0]) - F.size(own[1]), F.lit(0)) + F.greatest(F.size(gone[0]) - F.size(gone[1]), F.lit(0))
+        return (fewest <= most) & (F.size(F.array_except(*own)) + F.size(F.array_except(*gone)) <= most)
+
+    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
+                   & within("x", "y") & within("y", "x"))
+    cross = cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    second = _verified(sets, materialize(cross, "pairs"))
+    links = close.select("a", "b", "similarity").union(
+        second.where(F.col("similarity") >= similarity).select("a", "b", "similarity"))
     return links, components(links)
 
 

@@ -146,19 +146,6 @@ def test_counted_near_duplicates_are_those_of_all_pairs(spark, docs):
     assert 12 < len(set(expected.values())) < len(rows)
 
 
-def test_template_family_is_not_compared_pair_by_pair(spark, docs):
-    random = np.random.default_rng(9)
-    rows, shared = [], np.unique(random.integers(0, 2 ** 60, 70))
-    for i in range(300):
-        keys = np.unique(np.concatenate([shared, random.integers(0, 2 ** 60, 30)]))
-        rows.append((i, keys.tolist(), [1] * len(keys)))
-    twin = np.unique(np.concatenate([np.array(rows[7][1])[:-2], random.integers(0, 2 ** 60, 2)]))
-    rows.append((300, twin.tolist(), [1] * len(twin)))
-    sets = spark.createDataFrame(rows, "node long, shingles array<long>, weights array<long>")
-    placed = sets.select("node", F.col("node").alias("component"))
-    assert [(r.a, r.b) for r in near._prefix_pairs(sets, placed, 0.8).collect()] == [(7, 300)]
-
-
 def test_packing_matches_the_tokenizer_and_fills_sequences(docs, empty):
     from tokenizers import Tokenizer
 
