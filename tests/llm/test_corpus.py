@@ -85,67 +85,6 @@ def test_near_duplicates_with_repeated_own_lines(spark, docs):
     assert {(r.doc_id, r.class_id) for r in found} == {(i, i - i % 2) for i, _ in rows}
 
 
-def _probability_jaccard(x, y):
-    both = set(x) | set(y)
-    return sum(1 / sum(max(x[e] / x[d], y[e] / y[d]) for e in both) for d in set(x) & set(y))
-
-
-def test_probability_jaccard_and_its_registers_with_unequal_weights():
-    random = np.random.default_rng(4)
-    for size in (1, 5, 40):
-        x, y = (Counter({int(k): int(n) for k, n in zip(random.integers(0, 2 * size, size) + 1, random.integers(1, 9, size))})
-                for _ in range(2))
-        for a, b in ((x, y), (x, x), (x, Counter({k: 3 * n for k, n in x.items()})), (x, Counter({-1: 2}))):
-            arrays = [np.array(v) for c in (a, b) for v in (sorted(c), [c[k] for k in sorted(c)])]
-            assert near.probability_jaccard(*arrays) == pytest.approx(_probability_jaccard(a, b))
-    shared, own = np.arange(1, 41, dtype=np.uint64), np.arange(100, 120, dtype=np.uint64)
-    a = {int(k): 1.0 + k % 5 for k in shared}
-    b = {int(k): 1.0 + k % 3 for k in shared} | {int(k): 4.0 for k in own}
-    agree = []
-    for seed in range(40):
-        with np.errstate(over="ignore"):
-            spread = [near.mix(np.array(sorted(c), np.uint64) + np.uint64(1000 * seed)) for c in (a, b)]
-        first, second = (near.prob_min_hash(e, np.array([c[k] for k in sorted(c)])) for e, c in zip(spread, (a, b)))
-        agree.append((first == second).mean())
-    assert np.mean(agree) == pytest.approx(_probability_jaccard(Counter(a), Counter(b)), abs=0.03)
-
-
-def _all_pairs(texts):
-    def counts(text):
-        found = re.findall(r"[^\W_]+", text.lower())
-        return Counter(tuple(found[i:i + 5]) for i in range(max(1, len(found) - 4)))
-
-    bags = {i: counts(t) for i, t in texts}
-    group = {i: i for i in bags}
-    for a in bags:
-        for b in bags:
-            if a < b and set(bags[a]) & set(bags[b]) and _probability_jaccard(bags[a], bags[b]) >= 0.8:
-                low, high = sorted((group[a], group[b]))
-                group = {k: low if v == high else v for k, v in group.items()}
-    return group
-
-
-def test_counted_near_duplicates_are_those_of_all_pairs(spark, docs):
-    random = np.random.default_rng(8)
-
-    def fresh(n):
-        return [f"v{x}" for x in random.integers(0, 10 ** 9, n)]
-
-    texts, line = [], fresh(10)
-    for own in (3, 9, 12, 40):  # repeated lines, and weights that tell counted from plain shingles
-        shared = fresh(64)
-        texts += [" ".join(shared), " ".join([*shared, *line * own]), " ".join([*shared * 2]), " ".join([*shared, *line * (own + 1)])]
-    template = fresh(70)
-    for i in range(12):  # a family at about 0.75 to each other, with pairs that are alike
-        page = [*template, *fresh(9)]
-        texts += [" ".join(page), " ".join([*page, *fresh(3)])]
-    rows = list(enumerate(texts))
-    got = near.classes(spark.createDataFrame(rows, "doc_id long, text string"), counted=True).collect()
-    expected = _all_pairs(rows)
-    assert {(r.doc_id, r.class_id) for r in got} == set(expected.items())
-    assert 12 < len(set(expected.values())) < len(rows)
-
-
 def test_packing_matches_the_tokenizer_and_fills_sequences(docs, empty):
     from tokenizers import Tokenizer
 
