@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.money import percent
+from .slices import spread
 
 
 def share_of_total(df: DataFrame, by: str, count_name: str = "cnt") -> DataFrame:
@@ -51,7 +52,8 @@ def database_census(spark: SparkSession, database: str) -> DataFrame:
 
 def having_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their number of rows."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows_count")).where(F.col("rows_count") > 1)
+    keys = spread(df.select(*key), key)
+    return keys.groupBy(*key).agg(F.count(F.lit(1)).alias("rows_count")).where(F.col("rows_count") > 1)
 
 
 def report(df: DataFrame, title: str, rows: int = 50) -> None:

@@ -20,6 +20,7 @@ from ..functions.money import money, percent, ratio
 from ..functions.rules import bucketize, bucketize_at_least
 from ..operators import cohorts
 from ..operators.ranking import rank_within, top_k
+from ..operators.slices import SHARE, spread_shares
 from ..operators.summaries import table_census
 from ..operators.windows import running_sum, sequence_number, with_previous
 
@@ -136,9 +137,11 @@ def active_30d(t: Tables, as_of: dt.date | str | None = None, window_days: int =
 
 
 def top_products(t: Tables, k: int = 10) -> DataFrame:
-    sales = _valid(t, "dwd_order_items").groupBy("product_id", "product_name", "category", "brand").agg(
-        F.sum(F.col("quantity").cast("bigint")).alias("total_qty"), money(F.sum("amount")).alias("total_sales")
-    )
+    product = ["product_id", "product_name", "category", "brand"]
+    sold = _valid(t, "dwd_order_items").select(*product, "order_id", F.col("quantity").cast("bigint").alias("quantity"), "amount")
+    shares = spread_shares(sold, ["product_id"], "order_id").groupBy(*product, SHARE).agg(
+        F.sum("quantity").alias("quantity"), F.sum("amount").alias("amount"))
+    sales = shares.groupBy(*product).agg(F.sum("quantity").alias("total_qty"), money(F.sum("amount")).alias("total_sales"))
     return top_k(sales, [F.desc("total_sales"), F.asc("product_id")], k)
 
 

@@ -10,6 +10,7 @@ from ..functions.dates import as_of_date, average_gap, iso_weekday
 from ..functions.money import money, ratio
 from ..functions.rules import rfm_score, rfm_segment
 from ..operators.ranking import ntile_scores, rank_within
+from ..operators.slices import SHARE, spread, spread_shares
 from ..schemas import conform
 from ..storage import materialize
 
@@ -47,7 +48,8 @@ def build_user_base(
 
     # First to (user, day): active days become a plain count, and a user with very many
     # orders is spread over days before meeting in one task.
-    by_day = orders.where("user_id IS NOT NULL").groupBy("user_id", "order_date").agg(
+    days = spread(orders.where("user_id IS NOT NULL"), ["user_id", "order_date"], dwd_orders.count())
+    by_day = days.groupBy("user_id", "order_date").agg(
         F.count("order_id").alias("orders"),
         F.sum(F.when(_valid(), weight).otherwise(0)).alias("valid"),
         F.sum(F.when(_valid(), F.col("total_amount") * weight).otherwise(0)).alias("amount"),
@@ -106,7 +108,8 @@ def _favorites(items: DataFrame) -> DataFrame:
     Equal spends go to the first category in order, an unknown one before all.
     """
     quantity = F.sum(F.col("quantity").cast("bigint")).alias("quantity")
-    return favorites_of(items.where(_valid()).groupBy("user_id", "category").agg(F.sum("amount").alias("spend"), quantity))
+    bought = spread(items.where(_valid()).select("user_id", "category", "amount", "quantity"), ["user_id", "category"])
+    return favorites_of(bought.groupBy("user_id", "category").agg(F.sum("amount").alias("spend"), quantity))
 
 
 def favorites_of(spend: DataFrame) -> DataFrame:
@@ -167,14 +170,17 @@ def build_product_summary(items: DataFrame) -> DataFrame:
     price paid.
     """
     attributes = ["product_id", "product_name", "category", "sub_category", "brand"]
-    per_buyer = items.where(_valid()).groupBy(*attributes, "user_id").agg(
+    sold = items.where(_valid()).select(
+        *attributes, "user_id", "unit_price", "quantity", F.when(F.col("order_id").isNotNull(), 1).alias("ordered"), "amount",
+        F.to_date("order_time").alias("day"))
+    per_buyer = spread_shares(sold, ["product_id"], "user_id").groupBy(*attributes, "user_id", SHARE).agg(
         F.max("unit_price").alias("price"),
         F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
         F.count("quantity").alias("counted"),
-        F.count("order_id").alias("orders"),
+        F.count("ordered").alias("orders"),
         F.sum("amount").alias("amount"),
-        F.min(F.to_date("order_time")).alias("first_day"),
-        F.max(F.to_date("order_time")).alias("last_day"),
+        F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"),
     )
     return product_summary_of(per_buyer)
 
@@ -203,7 +209,8 @@ def build_date_summary(dwd_orders: DataFrame, user_summary: DataFrame) -> DataFr
     users become plain sums. Users who ever ordered twice count as repurchasing on all
     their days.
     """
-    per_user = dwd_orders.groupBy("order_date", "user_id").agg(
+    orders = dwd_orders.select("order_date", "user_id", "order_id", "is_valid_order", "is_first_order", "total_amount")
+    per_user = spread(orders, ["user_id", "order_date"]).groupBy("order_date", "user_id").agg(
         F.count("order_id").alias("orders"),
         F.sum("is_valid_order").alias("valid_orders"),
         F.sum(F.when(_valid(), F.col("total_amount")).otherwise(0)).alias("amount"),

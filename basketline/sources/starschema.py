@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.rules import padded_id
+from ..operators.slices import spread
 from ..schemas import conform
 
 AS_OF = dt.date(2001, 8, 2)  # the day after the last order
@@ -58,9 +59,8 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    items = source_table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
-        F.count_distinct("l_partkey").alias("n_items")
-    )
+    lines = spread(source_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey"), ["l_orderkey", "l_partkey"])
+    items = lines.groupBy("l_orderkey").agg(F.count_distinct("l_partkey").alias("n_items"))
     key, state = F.col("o_orderkey"), F.col("o_orderstatus")
     low = F.col("o_orderpriority") == "5-LOW"
     status = (
@@ -90,7 +90,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """Line items, merged where an order lists a product twice."""
     part = source_table(spark, folder, "part").select("p_partkey", "p_retailprice")
-    lines = source_table(spark, folder, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
+    lines = source_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    lines = spread(lines, ["l_orderkey", "l_partkey"]).groupBy("l_orderkey", "l_partkey").agg(
         F.sum("l_quantity").alias("quantity"),
         F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("amount"),
     )
