@@ -21,7 +21,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.rules import valid_order
-from ..storage import hadoop_path, path_exists, read_text, write_text
+from ..operators.slices import SHARE, spread, spread_shares
+from ..storage import hadoop_path, materialize, path_exists, read_text, write_text
 from . import dws
 
 PRODUCT = ["product_id", "product_name", "category", "sub_category", "brand"]
@@ -51,7 +52,7 @@ def partials_of(orders: DataFrame, items: DataFrame, products: DataFrame) -> dic
     facts = orders.select("order_id", "user_id", "create_time", "total_amount", F.to_date("create_time").alias("order_date"),
                           valid.alias("is_valid_order"))
     counts = F.col("is_valid_order") == 1
-    day_users = facts.groupBy(*KEYS["day_users"]).agg(
+    day_users = spread(facts, KEYS["day_users"]).groupBy(*KEYS["day_users"]).agg(
         F.count("order_id").alias("orders"), F.sum("is_valid_order").cast("bigint").alias("valid"),
         F.sum(F.when(counts, F.col("total_amount")).otherwise(0)).cast("decimal(38,2)").alias("amount"),
         F.count(F.when(counts, F.col("total_amount"))).alias("priced"))
@@ -61,9 +62,11 @@ def partials_of(orders: DataFrame, items: DataFrame, products: DataFrame) -> dic
     of_order = facts.where(counts).select("order_id", "user_id", F.col("order_date").alias("day"))
     known = products.select(*PRODUCT)
     sold = items.join(of_order, "order_id").join(known, "product_id", "left")
+    sold = materialize(sold.select(*PRODUCT, "user_id", "unit_price", "quantity", "order_id", "amount", "day"), "sold")  # read twice
     quantity = F.sum(F.col("quantity").cast("bigint"))
-    baskets = sold.groupBy(*KEYS["baskets"]).agg(F.sum("amount").cast("decimal(38,2)").alias("spend"), quantity.alias("quantity"))
-    buyers = sold.groupBy(*KEYS["buyers"]).agg(
+    bought = spread(sold.select(*KEYS["baskets"], "amount", "quantity"), KEYS["baskets"])
+    baskets = bought.groupBy(*KEYS["baskets"]).agg(F.sum("amount").cast("decimal(38,2)").alias("spend"), quantity.alias("quantity"))
+    buyers = spread(sold, ["product_id", "user_id"]).groupBy(*KEYS["buyers"]).agg(
         F.max("unit_price").alias("price"), quantity.alias("quantity"), F.count("quantity").alias("counted"),
         F.count("order_id").alias("orders"), F.sum("amount").cast("decimal(38,2)").alias("amount"),
         F.min("day").alias("first_day"), F.max("day").alias("last_day"))
@@ -73,7 +76,11 @@ def partials_of(orders: DataFrame, items: DataFrame, products: DataFrame) -> dic
 def merged(name: str, partials: DataFrame) -> DataFrame:
     """Partials of any number of loads as one, a row per key."""
     parts = [f(c).cast(partials.schema[c].dataType).alias(c) for c, f in MERGE[name].items()]
-    return partials.groupBy(*KEYS[name]).agg(*parts)
+    if name == "buyers":  # the share stays in the plan, so that sums per product find a product's rows in few tasks
+        rows = spread_shares(partials, ["product_id"], "user_id")
+        return rows.groupBy(*KEYS[name], SHARE).agg(*parts).drop(SHARE)
+    rows = spread(partials, KEYS[name])
+    return rows.groupBy(*KEYS[name]).agg(*parts)
 
 
 class PartialStore:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from basketline.operators import slices
 from basketline.operators.summaries import having_duplicates
-from basketline.plans import dwd_reports, dws
+from basketline.plans import dwd_reports, dws, partials
 from basketline.sources import starschema
 
 
@@ -92,3 +92,13 @@ def test_sums_per_product_are_moved_first(spark, small_tasks):
     assert (best.product_id, best.total_qty, best.total_sales) == ("P0", 3_000, decimal.Decimal("9000.00"))
     summary = {r.product_id: r for r in dws.build_product_summary(items).collect()}
     assert (summary["P0"].total_orders, summary["P0"].total_users, summary["P0"].category_rank) == (1_500, 7, 1)
+
+
+def test_merged_partials_are_moved_first(spark, small_tasks):
+    day = F.lit(dt.date(2000, 1, 1))
+    days = spark.range(1_000).select(
+        day.alias("order_date"), F.concat(F.lit("U"), F.col("id") % 900).alias("user_id"), F.lit(1).cast("long").alias("orders"),
+        F.lit(1).cast("long").alias("valid"), F.lit(2).cast("decimal(38,2)").alias("amount"), F.lit(1).cast("long").alias("priced"))
+    found = partials.merged("day_users", days)
+    assert moved_first(found, "user_id", 10)
+    assert found.count() == 900 and found.where("orders = 2").count() == 100
