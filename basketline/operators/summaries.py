@@ -50,9 +50,12 @@ def database_census(spark: SparkSession, database: str) -> DataFrame:
     return table_census({name: spark.table(f"`{database}`.`{name}`") for name in names})
 
 
-def having_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Key values that occur more than once, with their number of rows."""
-    keys = spread(df.select(*key), key)
+def having_duplicates(df: DataFrame, key: Sequence[str], together: bool = False) -> DataFrame:
+    """Key values that occur more than once, with their number of rows.
+
+    ``together`` tells that ``df`` is bucketed by a column of the key, so that its rows need not move.
+    """
+    keys = df.select(*key) if together else spread(df.select(*key), key)
     return keys.groupBy(*key).agg(F.count(F.lit(1)).alias("rows_count")).where(F.col("rows_count") > 1)
 
 

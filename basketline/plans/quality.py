@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -100,9 +100,9 @@ def dq_first_orders(dwd_orders: DataFrame) -> DataFrame:
     return _result(gap, "first_orders_vs_users", "dwd_orders", 0, 0)
 
 
-def dq_primary_key(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
-    """Key values that occur twice, and rows with a missing key column."""
-    duplicates = having_duplicates(df, key).agg(F.count(F.lit(1)).alias("observed"))
+def dq_primary_key(df: DataFrame, table: str, key: Sequence[str], together: bool = False) -> DataFrame:
+    """Key values that occur twice, and rows with a missing key column. ``together``: see :func:`having_duplicates`."""
+    duplicates = having_duplicates(df, key, together).agg(F.count(F.lit(1)).alias("observed"))
     missing = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in key))
     nulls = df.agg(F.count_if(missing).alias("observed"))
     return _union([
@@ -111,9 +111,11 @@ def dq_primary_key(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     ])
 
 
-def dq_primary_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
-    """:func:`dq_primary_key` of several tables, two rows each."""
-    return _union([dq_primary_key(tables[name], name, key) for name, key in keys.items()])
+def dq_primary_keys(
+    tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], together: Collection[str] = (),
+) -> DataFrame:
+    """:func:`dq_primary_key` of several tables, two rows each. ``together`` names those bucketed by a column of their key."""
+    return _union([dq_primary_key(tables[name], name, key, name in together) for name, key in keys.items()])
 
 
 def dq_status_domain(orders: DataFrame) -> DataFrame:
