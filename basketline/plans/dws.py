@@ -15,6 +15,9 @@ from ..schemas import conform
 from ..storage import materialize
 
 
+PRODUCT_ATTRIBUTES = ("product_name", "category", "sub_category", "brand")
+
+
 def _valid() -> Column:
     return F.col("is_valid_order") == 1
 
@@ -161,15 +164,18 @@ def user_summary_of(base: DataFrame) -> DataFrame:
     return conform(add_rfm(materialize(base, "user_base")), "dws_user_summary")
 
 
-def build_product_summary(items: DataFrame) -> DataFrame:
+def build_product_summary(items: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """Per product with a valid sale: volumes, buyers, dates, averages, rank in category.
 
     ``(order_id, product_id)`` must be unique and product attributes the same in all rows
     of a product. Rows are reduced to (product, user) first, so distinct users become a
     plain count and a best-seller is spread over its buyers. ``price`` is the highest
     price paid.
+
+    With ``products``, one row per product and the table the attributes of the items come from, they are taken from there
+    after the sums and are not moved with every item.
     """
-    attributes = ["product_id", "product_name", "category", "sub_category", "brand"]
+    attributes = ["product_id", *(PRODUCT_ATTRIBUTES if products is None else [])]
     sold = items.where(_valid()).select(
         *attributes, "user_id", "unit_price", "quantity", F.when(F.col("order_id").isNotNull(), 1).alias("ordered"), "amount",
         F.to_date("order_time").alias("day"))
@@ -182,12 +188,12 @@ def build_product_summary(items: DataFrame) -> DataFrame:
         F.min("day").alias("first_day"),
         F.max("day").alias("last_day"),
     )
-    return product_summary_of(per_buyer)
+    return product_summary_of(per_buyer, products)
 
 
-def product_summary_of(per_buyer: DataFrame) -> DataFrame:
-    """:func:`build_product_summary` from one row per (product, user)."""
-    base = per_buyer.groupBy("product_id", "product_name", "category", "sub_category", "brand").agg(
+def product_summary_of(per_buyer: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """:func:`build_product_summary` from one row per (product, user), with the attributes unless ``products`` has them."""
+    base = per_buyer.groupBy("product_id", *(PRODUCT_ATTRIBUTES if products is None else [])).agg(
         F.max("price").alias("price"),
         F.sum("quantity").alias("total_quantity"),
         F.sum("orders").alias("total_orders"),
@@ -198,6 +204,8 @@ def product_summary_of(per_buyer: DataFrame) -> DataFrame:
         ratio(F.sum("quantity"), F.sum("counted")).alias("avg_quantity_per_order"),
         ratio(F.sum("quantity"), F.count("user_id")).alias("avg_user_quantity"),
     )
+    if products is not None:
+        base = base.join(products.select("product_id", *PRODUCT_ATTRIBUTES), "product_id", "left")
     stored = materialize(base, "product_base")
     return conform(rank_within(stored, ["category"], "total_quantity", "category_rank"), "dws_product_summary")
 
