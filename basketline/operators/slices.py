@@ -15,13 +15,18 @@ SHARES = 8
 SHARE = "__share"
 
 
+def tasks_of(rows: int) -> int:
+    """Tasks of about ``ROWS`` rows."""
+    return max(2, -(-rows // ROWS))
+
+
 def spread(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
     """Rows of equal ``keys`` in one task; grouping by these and further columns moves none again.
 
     ``rows`` is their number or a bound, counted if it is not given.
     """
     n = df.count() if rows is None else rows
-    return df.repartition(max(2, -(-n // ROWS)), *keys)
+    return df.repartition(tasks_of(n), *keys)
 
 
 def spread_shares(df: DataFrame, keys: Sequence[str], over: str, rows: int | None = None) -> DataFrame:

@@ -24,17 +24,22 @@ from .quality import dq_primary_key, require
 #: The time that facts are partitioned by, by month.
 FACT_TIMES = {"dwd_orders": "create_time", "dwd_order_items": "order_time"}
 
+CODEC = "zstd"  # layers are written once and read often
+
 
 class Layers(Mapping):
     """Table name -> DataFrame; asking for a table builds what it depends on.
 
     Raw tables are given as frames, used as they are, or as builders, whose result is stored and must have unique keys.
-    ``by_month`` adds the order month to the facts and partitions them by it, as the pipeline does.
+    ``by_month`` adds the order month to the facts and partitions them by it, as the pipeline does. ``buckets`` gives, for
+    built raw tables, the key column and the number of partitions by it in which the builder leaves them: they are stored so.
     """
 
     def __init__(self, ods: Mapping[str, DataFrame | Callable[[], DataFrame]], as_of: dt.date | str | None,
-                 store: bool = True, by_month: bool = False):
+                 store: bool = True, by_month: bool = False, buckets: Mapping[str, tuple[str, int]] | None = None):
         self.as_of = as_of
+        self.buckets = dict(buckets or {}) if store else {}
+        self._unchecked: dict[str, DataFrame] = {}
         self._tables = {name: df for name, df in ods.items() if not callable(df)}
         self._store = store
         self._by_month = by_month
@@ -47,20 +52,30 @@ class Layers(Mapping):
             "dws_user_summary": lambda: build_user_summary(
                 self["dwd_orders"], self["dwd_order_items"], self["ods_users"], self.as_of
             ),
-            "dws_product_summary": lambda: build_product_summary(self["dwd_order_items"]),
+            "dws_product_summary": lambda: build_product_summary(
+                self["dwd_order_items"], self["ods_products"] if callable(ods["ods_products"]) else None  # checked keys
+            ),
             "dws_date_summary": lambda: build_date_summary(self["dwd_orders"], self["dws_user_summary"]),
         }
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
+            self._tables[name] = self.unchecked(name)
+            if self._store and name.startswith("ods_"):  # facts and sums count rows per key
+                require(dq_primary_key(self._tables[name], name, PRIMARY_KEYS[name], name in self.buckets))
+        return self._tables[name]
+
+    def unchecked(self, name: str) -> DataFrame:
+        """A table whose keys may repeat or be missing, for the builders of other raw tables."""
+        if name in self._tables:
+            return self._tables[name]
+        if name not in self._unchecked:
             table = self._builders[name]()
             month = None
             if self._by_month and name in FACT_TIMES:
                 table, month = with_order_month(table, FACT_TIMES[name]), "order_month"
-            self._tables[name] = materialize(table, name, month) if self._store else table
-            if self._store and name.startswith("ods_"):  # facts and sums count rows per key
-                require(dq_primary_key(self._tables[name], name, PRIMARY_KEYS[name]))
-        return self._tables[name]
+            self._unchecked[name] = materialize(table, name, month, self.buckets.get(name), CODEC) if self._store else table
+        return self._unchecked[name]
 
     def __iter__(self):
         return iter([*(n for n in self._tables if n not in self._builders), *self._builders])
@@ -79,5 +94,8 @@ def layers_of(spark: SparkSession, folder: str) -> Layers:
     key = (id(spark._jvm), spark.sparkContext.applicationId, folder, state)
     if key not in _LAYERS:
         ods = {name: partial(build, spark, folder) for name, build in starschema.ODS_BUILDERS.items()}
-        _LAYERS[key] = Layers(ods, starschema.AS_OF, by_month=True)
+        ods["ods_orders"] = lambda: starschema.orders(spark, folder, layers.unchecked("ods_order_items"))
+        by_order = ("order_id", starschema.order_tasks(spark, folder))
+        layers = Layers(ods, starschema.AS_OF, by_month=True, buckets={"ods_orders": by_order, "ods_order_items": by_order})
+        _LAYERS[key] = layers
     return _LAYERS[key]

@@ -52,7 +52,7 @@ def _tables() -> dict[str, Query]:
             t["ods_users"].select("user_id"), t["dwd_order_items"]).select(*favorite),
         "dws_user_summary": lambda t: dws.build_user_summary(*facts(t), AS_OF),
         "dws_user_summary_item_grain": lambda t: dws.build_user_summary(*facts(t), AS_OF, "item"),
-        "dws_product_summary": lambda t: dws.build_product_summary(t["dwd_order_items"]),
+        "dws_product_summary": lambda t: dws.build_product_summary(t["dwd_order_items"], t["ods_products"]),
         "dws_date_summary": lambda t: dws.build_date_summary(t["dwd_orders"], t["dws_user_summary"]),
         "dwd_orders_stats": lambda t: dwd.dwd_orders_stats(t["dwd_orders"]),
         "dwd_items_stats": lambda t: dwd.dwd_items_stats(t["dwd_order_items"]),
@@ -97,7 +97,7 @@ def _checks() -> dict[str, Query]:
         "dq_row_bands": lambda t: quality.dq_row_bands(t),
         "dq_orders": lambda t: quality.dq_orders(t["ods_orders"]),
         "dq_first_orders": lambda t: quality.dq_first_orders(t["dwd_orders"]),
-        "dq_primary_keys": lambda t: quality.dq_primary_keys(t, PRIMARY_KEYS),
+        "dq_primary_keys": lambda t: quality.dq_primary_keys(t, PRIMARY_KEYS, together=t.buckets),
         "dq_status_domain": lambda t: quality.dq_status_domain(t["ods_orders"]),
         "dq_orphans": lambda t: quality.dq_orphans(
             t["ods_orders"], t["ods_order_items"], t["ods_users"], t["ods_products"]),

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.rules import padded_id
-from ..operators.slices import spread
+from ..operators.slices import tasks_of
 from ..schemas import conform
 
 AS_OF = dt.date(2001, 8, 2)  # the day after the last order
@@ -58,9 +58,15 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     return conform(mapped, "ods_products")
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spread(source_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey"), ["l_orderkey", "l_partkey"])
-    items = lines.groupBy("l_orderkey").agg(F.count_distinct("l_partkey").alias("n_items"))
+def order_tasks(spark: SparkSession, folder: str) -> int:
+    """In how many partitions by order the orders and their items are left."""
+    return tasks_of(source_table(spark, folder, "lineitem").count())
+
+
+def orders(spark: SparkSession, folder: str, items: DataFrame | None = None) -> DataFrame:
+    """The orders, partitioned by order. ``items`` is the table of :func:`order_items` where it is stored, in buckets by order."""
+    items = order_items(spark, folder) if items is None else items
+    counts = items.where("order_id IS NOT NULL").groupBy("order_id").agg(F.count_distinct("product_id").alias("n_items"))
     key, state = F.col("o_orderkey"), F.col("o_orderstatus")
     low = F.col("o_orderpriority") == "5-LOW"
     status = (
@@ -70,39 +76,44 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     # Order dates carry no time of day; the key supplies one.
     created = F.col("o_orderdate") + F.make_dt_interval(secs=((key * 7919) % 86400).cast("decimal(18,6)"))
     paid = F.col("create_time") + F.make_dt_interval(mins=(1 + key % 30).cast("int"))
-    source = source_table(spark, folder, "orders")
+    order_id = padded_id("O", key + 1, 9)
+    source = source_table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority", "o_orderdate")
     mapped = (
-        source.join(items, source.o_orderkey == items.l_orderkey, "left")
+        source.repartition(order_tasks(spark, folder), order_id)
         .withColumns({"create_time": created, "status": status})
         .select(
-            padded_id("O", key + 1, 9).alias("order_id"),
+            order_id.alias("order_id"),
             padded_id("U", F.col("o_custkey") + 1, 8).alias("user_id"),
             F.col("o_totalprice").alias("total_amount"),
             "status",
-            F.coalesce("n_items", F.lit(0)).alias("item_count"),
             "create_time",
             F.when(F.col("status") != "cancelled", paid).alias("pay_time"),
         )
+        .join(counts, "order_id", "left")
+        .withColumn("item_count", F.coalesce("n_items", F.lit(0)))
     )
     return conform(mapped, "ods_orders")
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items, merged where an order lists a product twice."""
-    part = source_table(spark, folder, "part").select("p_partkey", "p_retailprice")
-    lines = source_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
-    lines = spread(lines, ["l_orderkey", "l_partkey"]).groupBy("l_orderkey", "l_partkey").agg(
+    """Line items, merged where an order lists a product twice, partitioned by order.
+
+    Prices are looked up before the rows move to their orders. A part listed twice makes two rows of a key, one per copy.
+    """
+    copy = F.row_number().over(W.partitionBy("p_partkey").orderBy("p_retailprice")).alias("copy")
+    part = source_table(spark, folder, "part").where("p_partkey IS NOT NULL").select("p_partkey", "p_retailprice", copy)
+    lines = source_table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
+    lines = lines.join(part, lines.l_partkey == part.p_partkey, "left").drop("p_partkey")
+    order_id = padded_id("O", F.col("l_orderkey") + 1, 9)
+    moved = lines.repartition(order_tasks(spark, folder), order_id).withColumn("order_id", order_id).drop("l_orderkey")
+    merged = moved.groupBy("order_id", "l_partkey", "copy").agg(
         F.sum("l_quantity").alias("quantity"),
-        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("amount"),
-    )
-    mapped = lines.join(part, lines.l_partkey == part.p_partkey, "left").select(
-        padded_id("O", F.col("l_orderkey") + 1, 9).alias("order_id"),
-        padded_id("P", F.col("l_partkey") + 1, 6).alias("product_id"),
-        "quantity",
-        F.col("p_retailprice").alias("unit_price"),
-        "amount",
+        F.max("p_retailprice").alias("unit_price"),
+        F.sum("price").alias("amount"),
     )
-    return conform(mapped, "ods_order_items")
+    return conform(merged.withColumn("product_id", padded_id("P", F.col("l_partkey") + 1, 6)), "ods_order_items")
 
 
 ODS_BUILDERS = {
