@@ -40,6 +40,7 @@ class Layers(Mapping):
         self.as_of = as_of
         self.buckets = dict(buckets or {}) if store else {}
         self._unchecked: dict[str, DataFrame] = {}
+        self._unique: set[str] = set()
         self._tables = {name: df for name, df in ods.items() if not callable(df)}
         self._store = store
         self._by_month = by_month
@@ -53,8 +54,7 @@ class Layers(Mapping):
                 self["dwd_orders"], self["dwd_order_items"], self["ods_users"], self.as_of
             ),
             "dws_product_summary": lambda: build_product_summary(
-                self["dwd_order_items"], self["ods_products"] if callable(ods["ods_products"]) else None  # checked keys
-            ),
+                self["dwd_order_items"], self.unique("ods_products")),
             "dws_date_summary": lambda: build_date_summary(self["dwd_orders"], self["dws_user_summary"]),
         }
 
@@ -63,8 +63,14 @@ class Layers(Mapping):
             self._tables[name] = self.unchecked(name)
             if self._store and name.startswith("ods_"):  # facts and sums count rows per key
                 require(dq_primary_key(self._tables[name], name, PRIMARY_KEYS[name], name in self.buckets))
+                self._unique.add(name)
         return self._tables[name]
 
+    def unique(self, name: str) -> DataFrame | None:
+        """A raw table whose keys were checked and found unique; none if they were not."""
+        table = self[name]
+        return table if name in self._unique else None
+
     def unchecked(self, name: str) -> DataFrame:
         """A table whose keys may repeat or be missing, for the builders of other raw tables."""
         if name in self._tables:

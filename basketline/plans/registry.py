@@ -52,7 +52,7 @@ def _tables() -> dict[str, Query]:
             t["ods_users"].select("user_id"), t["dwd_order_items"]).select(*favorite),
         "dws_user_summary": lambda t: dws.build_user_summary(*facts(t), AS_OF),
         "dws_user_summary_item_grain": lambda t: dws.build_user_summary(*facts(t), AS_OF, "item"),
-        "dws_product_summary": lambda t: dws.build_product_summary(t["dwd_order_items"], t["ods_products"]),
+        "dws_product_summary": lambda t: dws.build_product_summary(t["dwd_order_items"], t.unique("ods_products")),
         "dws_date_summary": lambda t: dws.build_date_summary(t["dwd_orders"], t["dws_user_summary"]),
         "dwd_orders_stats": lambda t: dwd.dwd_orders_stats(t["dwd_orders"]),
         "dwd_items_stats": lambda t: dwd.dwd_items_stats(t["dwd_order_items"]),

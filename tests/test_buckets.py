@@ -75,9 +75,19 @@ def test_repeated_or_missing_keys_still_raise(spark, tmp_path, lines, parts):
         t["ods_order_items"]
 
 
+def test_products_listed_twice_are_summed_by_their_attributes(spark, tmp_path):
+    t = layers_of(spark, shop(spark, tmp_path, parts=[(7, 1.0)]))
+    for name in ("ods_products", "ods_order_items"):
+        with pytest.raises(QualityError):
+            t[name]
+    assert t.unique("ods_products") is None
+    assert rows(t["dws_product_summary"]) == rows(dws.build_product_summary(t["dwd_order_items"]))
+
+
 def test_product_attributes_do_not_move_with_every_item(spark, tmp_path):
     t = layers_of(spark, shop(spark, tmp_path))
     items, products = t["dwd_order_items"], t["ods_products"]
+    assert t.unique("ods_products") is products
     assert rows(dws.build_product_summary(items, products)) == rows(dws.build_product_summary(items))
     assert rows(t["dws_product_summary"]) == rows(dws.build_product_summary(items))
     assert t["dws_product_summary"].where("product_name IS NULL").count() == 10
