@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .text import blocks, mix
 
 BINS = 1 << 15
+SLICE_BYTES = 1 << 18  # of text at a time: grams take about 80 times that for a while
 SMOOTHING = 0.1
 STEPS = 8
 PENALTY = 4.0
@@ -51,7 +52,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     """How often each gram occurs in the texts of each ``lang``: lang, gram, n."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
-        for part, data, offsets in blocks(batches):
+        for part, data, offsets in blocks(batches, size=SLICE_BYTES):
             ids, owner = grams(data, offsets)
             langs = part["lang"].to_pylist()
             names = sorted(set(langs))
@@ -171,7 +172,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in blocks(batches, f"_c{given.index('text')}"):
+        for part, data, offsets in blocks(batches, f"_c{given.index('text')}", SLICE_BYTES):
             shares, evidence = shared.value.explained(data, offsets)
             readable = part["_readable"].to_numpy(zero_copy_only=False).astype(bool)
             if not names:

@@ -16,6 +16,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
+SLICE_BYTES = 1 << 18  # of text at a time
 #: Arrivals drawn at once: about as many as fill all registers.
 _DRAWS = int(2 * REGISTERS * np.log(REGISTERS))
 
@@ -70,7 +71,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     All shingles weigh the same, so that two texts agree in a register with the Jaccard similarity that is verified.
     """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in blocks(batches, "lowered"):
+        for part, data, offsets in blocks(batches, "lowered", SLICE_BYTES):
             keys = []
             for found in shingle_sets(data, offsets):
                 if not len(found):
@@ -91,7 +92,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the wanted nodes (node, digest, doc_id)."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in blocks(batches, "lowered"):
+        for part, data, offsets in blocks(batches, "lowered", SLICE_BYTES):
             found = [s.view(np.int64) for s in shingle_sets(data, offsets)]
             yield pa.RecordBatch.from_arrays(
                 [part["node"], pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])

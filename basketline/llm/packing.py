@@ -19,7 +19,7 @@ END_ID = 1
 SLICES = 64
 PER_SLICE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
-KNOWN_UNITS = 2_000_000
+KNOWN_UNITS = 500_000
 
 
 class TightestFit:
