@@ -41,6 +41,7 @@ class Layers(Mapping):
         self.buckets = dict(buckets or {}) if store else {}
         self._unchecked: dict[str, DataFrame] = {}
         self._unique: set[str] = set()
+        self._checked: dict[str, list] = {}
         self._tables = {name: df for name, df in ods.items() if not callable(df)}
         self._store = store
         self._by_month = by_month
@@ -62,7 +63,7 @@ class Layers(Mapping):
         if name not in self._tables:
             self._tables[name] = self.unchecked(name)
             if self._store and name.startswith("ods_"):  # facts and sums count rows per key
-                require(dq_primary_key(self._tables[name], name, PRIMARY_KEYS[name], name in self.buckets))
+                require(self._key_checks(name))
                 self._unique.add(name)
         return self._tables[name]
 
@@ -71,6 +72,16 @@ class Layers(Mapping):
         table = self[name]
         return table if name in self._unique else None
 
+    def _key_checks(self, name: str) -> list:
+        """The checks of a raw table's keys, made once."""
+        if name not in self._checked:
+            self._checked[name] = dq_primary_key(self.unchecked(name), name, PRIMARY_KEYS[name], name in self.buckets).collect()
+        return self._checked[name]
+
+    def keys_unique(self, name: str) -> bool:
+        """Whether the keys of a raw table neither repeat nor are missing; does not raise."""
+        return all(r.status == "PASS" for r in self._key_checks(name))
+
     def unchecked(self, name: str) -> DataFrame:
         """A table whose keys may repeat or be missing, for the builders of other raw tables."""
         if name in self._tables:
@@ -100,7 +111,8 @@ def layers_of(spark: SparkSession, folder: str) -> Layers:
     key = (id(spark._jvm), spark.sparkContext.applicationId, folder, state)
     if key not in _LAYERS:
         ods = {name: partial(build, spark, folder) for name, build in starschema.ODS_BUILDERS.items()}
-        ods["ods_orders"] = lambda: starschema.orders(spark, folder, layers.unchecked("ods_order_items"))
+        ods["ods_orders"] = lambda: starschema.orders(
+            spark, folder, layers.unchecked("ods_order_items"), layers.keys_unique("ods_order_items"))
         by_order = ("order_id", starschema.order_tasks(spark, folder))
         layers = Layers(ods, starschema.AS_OF, by_month=True, buckets={"ods_orders": by_order, "ods_order_items": by_order})
         _LAYERS[key] = layers

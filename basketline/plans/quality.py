@@ -67,9 +67,9 @@ def dq_row_bands(tables: Mapping[str, DataFrame], bands: Mapping[str, tuple[int,
     ])
 
 
-def require(checks: DataFrame) -> list:
-    """Raise unless every check passed; ``checks`` has one row per check."""
-    rows = checks.collect()
+def require(checks: DataFrame | list) -> list:
+    """Raise unless every check passed; ``checks`` has one row per check, as a frame or collected."""
+    rows = checks if isinstance(checks, list) else checks.collect()
     failed = [f"{r.check} of {r.table}: {r.observed}" for r in rows if r.status != "PASS"]
     if failed:
         raise QualityError("; ".join(failed))

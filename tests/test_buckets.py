@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from micro import rows
 from pyspark.sql import functions as F
 
-from basketline.plans import dws
+from basketline.plans import dws, layers
 from basketline.plans.dwd import build_dwd_order_items
 from basketline.plans.layers import layers_of
 from basketline.plans.quality import QualityError, dq_primary_key
@@ -102,3 +103,22 @@ def test_product_attributes_do_not_move_with_every_item(spark, tmp_path):
             with pytest.raises(InterruptedError):
                 dws.build_product_summary(items, given)
     assert "product_name" in moved["without"] and "product_name" not in moved["with"]
+
+
+@pytest.mark.parametrize("parts", [[], [(7, 1.0)]])
+def test_products_of_orders_are_counted_without_a_distinct_where_keys_are_unique(spark, tmp_path, monkeypatch, parts):
+    checked, told = [], []
+    check, build = layers.dq_primary_key, starschema.orders
+    monkeypatch.setattr(layers, "dq_primary_key", lambda df, name, *more: checked.append(name) or check(df, name, *more))
+    monkeypatch.setattr(starschema, "orders", lambda s, f, items, unique: told.append(unique) or build(s, f, items, unique))
+    folder = shop(spark, tmp_path, parts=parts)
+    t = layers_of(spark, folder)
+    assert {r.item_count for r in t["ods_orders"].collect()} == {0, 4}
+    if parts:
+        with pytest.raises(QualityError):
+            t["ods_order_items"]
+    else:
+        t["ods_order_items"]
+    assert told == [not parts] and checked.count("ods_order_items") == 1
+    plan = executed(build(spark, folder, t.unchecked("ods_order_items"), told[0]))
+    assert any("product_id" in keys for keys in re.findall(r"Aggregate\(keys=\[([^\]]*)\]", plan)) == bool(parts)
