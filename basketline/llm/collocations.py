@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from ..storage import materialize
-from .text import blocks, mix
+from .text import filled, mix
 
 BLOCK_BYTES = 4 << 20
 LEAST = 30
@@ -53,15 +53,28 @@ def words_and_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return start, end, text, new
 
 
+def _packed(codes: np.ndarray) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.CompressedOutputStream(sink, "zstd") as out:
+        out.write(codes.tobytes())
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(raw: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(pa.CompressedInputStream(pa.BufferReader(raw), "zstd").read(), f"<u{width}")
+
+
 def shards(docs: DataFrame, block_bytes: int | None = None) -> DataFrame:
     """Blocks of about ``block_bytes`` of text in their own word numbers: block, words (lang, word, count; numbered from 1 in this order)
-    and codes, those numbers as unsigned integers of ``width`` bytes with a 0 before every piece."""
+    and codes, those numbers as unsigned integers of ``width`` bytes with a 0 before every piece, compressed.
+
+    Blocks go on across the batches that Spark hands over: each word is named and each phrase is kept once a block."""
     word = T.StructType([T.StructField("lang", T.StringType()), T.StructField("word", T.StringType()), T.StructField("count", T.LongType())])
     schema = T.StructType([T.StructField("words", T.ArrayType(word)), T.StructField("width", T.IntegerType()),
                            T.StructField("codes", T.BinaryType())])
 
     def coded(batches):
-        for part, data, offsets in blocks(batches, size=block_bytes or BLOCK_BYTES):
+        for part, data, offsets in filled(batches, size=block_bytes or BLOCK_BYTES):
             lower = _LOWER[data]
             start, end, text, new = words_and_pieces(lower, offsets)
             if not len(start):
@@ -81,11 +94,11 @@ def shards(docs: DataFrame, block_bytes: int | None = None) -> DataFrame:
             codes = np.insert(number + 1, np.flatnonzero(new), 0).astype(f"<u{width}")
             yield pa.RecordBatch.from_arrays(
                 [pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), entries), pa.array([width], pa.int32()),
-                 pa.array([codes.tobytes()], pa.binary())], schema.fieldNames())
+                 pa.array([_packed(codes)], pa.binary())], schema.fieldNames())
 
     text = [F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit(UNKNOWN_LANG)).alias("lang")]
     stored = docs.select(*text).mapInArrow(coded, schema)
-    return materialize(stored.select(F.monotonically_increasing_id().alias("block"), "words", "width", "codes"), "word_blocks")
+    return materialize(stored.select(F.monotonically_increasing_id().alias("block"), "words", "width", "codes"), "word_blocks", codec="zstd")
 
 
 class Keys:
@@ -254,7 +267,7 @@ def phrase_filters(stored: DataFrame, numbers: DataFrame, bits: int, of_range: i
     def counted(codes: pa.Table, known: pa.Table) -> pa.Table:
         out = []
         if len(codes) and len(known):
-            raw = np.frombuffer(codes["codes"][0].as_py(), f"<u{codes['width'][0].as_py()}").astype(np.int64)
+            raw = _unpacked(codes["codes"][0].as_py(), codes["width"][0].as_py()).astype(np.int64)
             place = known["place"].to_numpy()
             table = np.zeros(max(int(raw.max(initial=0)), int(place.max())) + 1, np.int64)
             table[place] = known["number"].to_numpy()

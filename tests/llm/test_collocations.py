@@ -7,10 +7,12 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketline.llm import collocations as c
 from basketline.llm.ship import ship
+from basketline.llm.text import blocks, filled
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -99,3 +101,32 @@ def test_filters_lose_nothing(n, bits, of_range):
 def test_keys_that_do_not_fit_raise():
     with pytest.raises(ValueError):
         c.Keys(4, 33)
+
+
+def test_blocks_go_on_across_batches(spark):
+    """Spark's batches may be much smaller than a block; each word is named once a block, not once a batch."""
+    ship(spark)
+    limit = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        docs = spark.createDataFrame([(i, f"same words {i % 5} again", "en") for i in range(500)], "doc_id long, text string, lang string").coalesce(1)
+        for size, least in ((1 << 20, 1), (4_750, 2)):  # texts have 19 bytes
+            stored = c.shards(docs, size).collect()
+            assert least <= len(stored) <= least + 1
+            assert [len(r["words"]) for r in stored] == [8] * len(stored)
+            assert sum(w["count"] for r in stored for w in r["words"]) == 2_000
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", limit)
+
+
+def test_filled_blocks_keep_every_text_in_order():
+    texts = [None, "", "a" * 50, *[f"t{i}" * (i % 7) for i in range(300)], "b" * 900, "c"]
+    whole = pa.table({"text": texts}).to_batches()
+    for size in (1, 60, 400, 1 << 20):
+        cut = [part.num_rows for part, _, _ in blocks(iter(whole), size=size)]
+        for batch in (1, 4, 1000):
+            parts = list(filled(iter(pa.table({"text": texts}).to_batches(max_chunksize=batch)), size=size))
+            assert [part.num_rows for part, _, _ in parts] == cut
+            assert [t for part, _, _ in parts for t in part["text"].to_pylist()] == texts
+            assert b"".join(data.tobytes() for _, data, _ in parts) == "".join(t or "" for t in texts).encode()
+            assert all(offsets[-1] <= size or part.num_rows == 1 for part, _, offsets in parts)
