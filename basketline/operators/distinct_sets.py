@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..storage import materialize
+from .lookups import looked_up
 
 SLICE_ROWS = 500_000
 
@@ -30,7 +31,7 @@ def dense_numbers(members: DataFrame, key: str, name: str = "number", slice_rows
 
 def with_numbers(rows: DataFrame, numbers: DataFrame, key: str) -> DataFrame:
     """``rows`` with the number of their ``key``; NULL where it has none."""
-    return rows.join(numbers, key, "left")
+    return rows.join(looked_up(numbers), key, "left")
 
 
 def member_sets(rows: DataFrame, by: Sequence[str], number: str = "number") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import iso_weekday, month_key, whole_minutes
 from ..functions.rules import valid_order
+from ..operators.lookups import looked_up
 from ..operators.windows import first_rows
 from ..schemas import conform
 
@@ -25,7 +26,7 @@ def build_dwd_orders(orders: DataFrame, users: DataFrame) -> DataFrame:
     profile = users.select("user_id", "username", "age", "city", F.col("level").alias("user_level"))
     per_user = (
         first.withColumnRenamed("order_id", "__first_order")
-        .join(profile, "user_id", "left")
+        .join(looked_up(profile, users.count()), "user_id", "left")
         .withColumnRenamed("user_id", "__user")
     )
     created, paid = F.col("create_time"), F.col("pay_time")
@@ -44,15 +45,15 @@ def build_dwd_order_items(items: DataFrame, orders: DataFrame, products: DataFra
     """One row per order and product, with product and order attributes.
 
     Items without an order are dropped; items of unknown products stay, with NULL
-    attributes. Neither join is hinted: sizes known to the planner, or measured at run
-    time, decide whether the products are broadcast.
+    attributes. Few products may be broadcast, as the planner decides; many meet the items
+    in a sort-merge join, see :func:`looked_up`.
     """
     order_part = orders.select(
         "order_id", "user_id", F.col("create_time").alias("order_time"),
         valid_order(F.col("status")).alias("is_valid_order"),
     )
     product_part = products.select("product_id", "product_name", "category", "sub_category", "brand")
-    facts = items.join(order_part, "order_id").join(product_part, "product_id", "left")
+    facts = items.join(order_part, "order_id").join(looked_up(product_part, products.count()), "product_id", "left")
     return conform(facts, "dwd_order_items")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.dates import as_of_date, average_gap, iso_weekday
 from ..functions.money import money, ratio
 from ..functions.rules import rfm_score, rfm_segment
+from ..operators.lookups import looked_up
 from ..operators.ranking import ntile_scores, rank_within
 from ..operators.slices import SHARE, spread, spread_shares
 from ..schemas import conform
@@ -205,8 +206,8 @@ def product_summary_of(per_buyer: DataFrame, products: DataFrame | None = None)
         ratio(F.sum("quantity"), F.count("user_id")).alias("avg_user_quantity"),
     )
     if products is not None:
-        base = base.join(products.select("product_id", *PRODUCT_ATTRIBUTES), "product_id", "left")
-    stored = materialize(base, "product_base")
+        base = base.join(looked_up(products.select("product_id", *PRODUCT_ATTRIBUTES), products.count()), "product_id", "left")
+    stored = looked_up(materialize(base, "product_base"))
     return conform(rank_within(stored, ["category"], "total_quantity", "category_rank"), "dws_product_summary")
 
 
@@ -226,7 +227,8 @@ def build_date_summary(dwd_orders: DataFrame, user_summary: DataFrame) -> DataFr
         F.max("is_valid_order").alias("active"),
         F.max(F.col("is_valid_order") * F.col("is_first_order")).alias("new"),
     )
-    return date_summary_of(per_user, user_summary.where("is_repurchase = 1").select("user_id", F.lit(1).alias("again")))
+    again = user_summary.where("is_repurchase = 1").select("user_id", F.lit(1).alias("again"))
+    return date_summary_of(per_user, looked_up(again, user_summary.count()))
 
 
 def date_summary_of(per_user: DataFrame, repurchasing: DataFrame) -> DataFrame:

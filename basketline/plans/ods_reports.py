@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..fixed_values import VALID_STATUSES
 from ..functions.money import money, ratio
+from ..operators.lookups import looked_up
 from ..operators.ranking import top_k
 from ..operators.summaries import share_of_total, table_census
 
@@ -44,8 +45,9 @@ def category_gmv_ods(t: Tables) -> DataFrame:
     Items are reduced to (category, order) before counting, so distinct orders become a
     plain count.
     """
+    products = t["ods_products"]
     per_order = (
-        t["ods_order_items"].join(t["ods_products"].select("product_id", "category"), "product_id")
+        t["ods_order_items"].join(looked_up(products.select("product_id", "category"), products.count()), "product_id")
         .groupBy("category", "order_id").agg(F.sum("amount").alias("amount"))
     )
     return per_order.groupBy("category").agg(
@@ -62,6 +64,7 @@ def order_time_span(t: Tables) -> DataFrame:
 
 def orders_with_users(t: Tables) -> DataFrame:
     """The join that the denormalised order fact saves (compare ``join_vs_denorm``)."""
-    return t["ods_orders"].join(t["ods_users"].select("user_id", "username"), "user_id", "left").select(
+    users = t["ods_users"]
+    return t["ods_orders"].join(looked_up(users.select("user_id", "username"), users.count()), "user_id", "left").select(
         "order_id", "username", "total_amount"
     )

@@ -21,6 +21,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.rules import valid_order
+from ..operators.lookups import looked_up
 from ..operators.slices import SHARE, spread, spread_shares
 from ..storage import hadoop_path, materialize, path_exists, read_text, write_text
 from . import dws
@@ -61,7 +62,7 @@ def partials_of(orders: DataFrame, items: DataFrame, products: DataFrame) -> dic
 
     of_order = facts.where(counts).select("order_id", "user_id", F.col("order_date").alias("day"))
     known = products.select(*PRODUCT)
-    sold = items.join(of_order, "order_id").join(known, "product_id", "left")
+    sold = items.join(of_order, "order_id").join(looked_up(known, products.count()), "product_id", "left")
     sold = materialize(sold.select(*PRODUCT, "user_id", "unit_price", "quantity", "order_id", "amount", "day"), "sold")  # read twice
     quantity = F.sum(F.col("quantity").cast("bigint"))
     bought = spread(sold.select(*KEYS["baskets"], "amount", "quantity"), KEYS["baskets"])

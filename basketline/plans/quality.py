@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import ORDER_STATUSES, PUBLISHED_ROW_BANDS, SUSPICIOUS_AMOUNT
+from ..operators.lookups import looked_up
 from ..operators.summaries import having_duplicates
 from ..schemas import TEXT_WIDTHS
 
@@ -132,7 +133,7 @@ def dq_orphans(orders: DataFrame, items: DataFrame, users: DataFrame, products:
     """
     def orphans(rows: DataFrame, table: str, key: str, parent: DataFrame) -> DataFrame:
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        lost = counts.join(parent.select(key), key, "left_anti").agg(F.sum("n").alias("observed"))
+        lost = counts.join(looked_up(parent.select(key), parent.count()), key, "left_anti").agg(F.sum("n").alias("observed"))
         return _result(lost, f"unknown_{key}", table, 0, 0)
 
     return _union([

@@ -11,8 +11,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.rules import padded_id
+from ..operators import lookups
 from ..operators.slices import tasks_of
 from ..schemas import conform
+from ..storage import materialize
 
 AS_OF = dt.date(2001, 8, 2)  # the day after the last order
 
@@ -106,7 +108,11 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     Prices are looked up before the rows move to their orders. A part listed twice makes two rows of a key, one per copy.
     """
     copy = F.row_number().over(W.partitionBy("p_partkey").orderBy("p_retailprice")).alias("copy")
-    part = source_table(spark, folder, "part").where("p_partkey IS NOT NULL").select("p_partkey", "p_retailprice", copy)
+    part = source_table(spark, folder, "part")
+    n_parts = part.count()
+    part = part.where("p_partkey IS NOT NULL").select("p_partkey", "p_retailprice", copy)
+    if n_parts > lookups.ROWS:  # read from a table, the lines of a frequent part are split over tasks
+        part = lookups.looked_up(materialize(part, "part_prices"), n_parts)
     lines = source_table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
     lines = lines.join(part, lines.l_partkey == part.p_partkey, "left").drop("p_partkey")
